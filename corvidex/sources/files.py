@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
@@ -70,7 +71,7 @@ class _Visible(html.parser.HTMLParser):
             self.parts.append(data)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(types.StringType())
 def html_exact(pages: pd.Series) -> pd.Series:
     """Visible text by a real parser, for pages the expression form is too coarse for."""
 
