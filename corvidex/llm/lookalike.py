@@ -45,6 +45,8 @@ _SPACE = re.compile(f"[{_SPACES}]")
 _FORMS = {0xFB00: "ff", 0xFB01: "fi", 0xFB02: "fl", 0xFB03: "ffi", 0xFB04: "ffl", 0xFB05: "st", 0xFB06: "st", 0x2010: "-", 0x2011: "-"} | {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _TOKEN = re.compile(r"[^\W\d_]+")
 _CYR = re.compile(r"[\u0400-\u052F]")
+_GREEK = re.compile(r"[\u0370-\u03FF]")
+_FOREIGN = re.compile(r"[\u0370-\u052F]")
 _LAT = re.compile(r"[A-Za-z\u00C0-\u024F]")
 
 
@@ -59,15 +61,13 @@ def plain(text: str) -> str:
 def token_repairs(text: str) -> list[tuple[str, str]]:
     """(token, repaired token) for tokens that hold look-alike letters of a foreign script."""
     out: list[tuple[str, str]] = []
-    if text.isascii():
+    if text.isascii() or not _FOREIGN.search(text):
         return out
     n_cyr = len(_CYR.findall(text))
-    if not n_cyr and not any("\u0370" <= c <= "\u03FF" for c in text):
-        return out
     n_lat = len(_LAT.findall(text))
     mixed = _MIXED.search(text) is not None
     latin_text = n_lat >= n_cyr
-    if not mixed and not latin_text and not any("\u0370" <= c <= "\u03FF" for c in text):
+    if not mixed and not latin_text and not _GREEK.search(text):
         # an all-look-alike Latin token in Cyrillic text
         cand = {t for t in _TOKEN.findall(text) if all(c in CYRILLIC_OF for c in t)}
         return [(t, "".join(CYRILLIC_OF[c] for c in t)) for t in cand]
