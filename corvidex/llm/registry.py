@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .cut import p10_found, p10_rates
 from .encode import encode_texts
+from .neardup import p5_classes, p5_found
+from .neighbours import p1_found, p1_topk
 from .leak import p9_found, p9_report
 from .lookalike import p4_canonical, p4_found
 from .rankfuse import p6_found, p6_ranking
@@ -16,8 +18,12 @@ def p8_ids(spark, base):
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_topk": p1_topk,
     "p4_found": p4_found,
     "p4_canonical": p4_canonical,
+    "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p6_found": p6_found,
     "p6_ranking": p6_ranking,
     "p7_found": p7_found,
@@ -32,9 +38,9 @@ QUERIES = {
 
 _P9 = r"""
 WITH w AS (
-  SELECT doc_id AS id, 'd' AS side, list_filter(string_split_regex(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), x -> x <> '') AS ws FROM documents WHERE text IS NOT NULL
+  SELECT doc_id AS id, 'd' AS side, list_filter(string_split_regex(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL
   UNION ALL
-  SELECT item_id, 'i', list_filter(string_split_regex(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark WHERE text IS NOT NULL),
+  SELECT item_id, 'i', list_filter(string_split_regex(strip_accents(lower(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark WHERE text IS NOT NULL),
 g AS (SELECT DISTINCT id, side, array_to_string(ws[k:k+11], ' ') AS gram FROM (SELECT id, side, ws, unnest(range(1, len(ws) - 10)) AS k FROM w WHERE len(ws) >= 12))
 SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i ON d.gram = i.gram AND d.side = 'd' AND i.side = 'i'
 """
