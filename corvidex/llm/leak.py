@@ -4,11 +4,11 @@ Method: size-partitioned MinHash containment search, then exact shingle
 containment.  A leaked part is a run of RUN consecutive words; the set of its
 SHINGLE-word shingles has one fixed size, so all search domains lie in one size
 partition and containment 1 means Jaccard 1: a run and its copy always have the
-same MinHash.  Every RUN-word window of a document and of an item gives its
-minimum shingle hash; neighbouring windows share minima, so a long document
-gives about 2 values for every (RUN - SHINGLE + 2) words.  Items meet documents
-on equal minima; candidates are verified by exact containment of RUN-word
-shingles.
+same MinHash signature, whatever the length of the document around it.  Every
+RUN-word window of a document and of an item gives a signature of HASHES
+minima; items meet documents on equal signatures, and candidates are verified
+by exact containment of RUN-word shingles.  Short items and long documents thus
+meet at equal sizes, which is what the size partition is for.
 
 Text is compared in lower case without accents, punctuation, spacing and line
 breaks; words split by a hyphen at a line end are read both joined and split.
@@ -20,7 +20,6 @@ copies of an item count for each id; ties cannot occur (the result is a set).
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,93 +28,81 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, small, table
-from .lookalike import canonical
+from .wordhash import Words, blocks, flat, fold, running_min, shingles, split
 
 RUN = 12
 SHINGLE = 5
+HASHES = 3
+#: Signatures sought are sent to the workers only up to so many (16 MB); beyond it the join alone decides.
+SENT = 2_000_000
 
-_WORD = re.compile(r"[^\W_]+")
-_HYPHEN = re.compile("(?<=[^\\W\\d_])[-‐­¬]\\s*\\n\\s*(?=[^\\W\\d_])")
-#: Letters with an accent that are common, mapped by rule; the rest goes through full decomposition.
-_FOLD = {c: unicodedata.normalize("NFD", chr(c))[0] for c in [*range(0xC0, 0x180), *range(0x400, 0x460)] if len(unicodedata.normalize("NFD", chr(c))) > 1}
-_RARE = re.compile("[^\x00-ſЀ-џ -⁯]")
-_HASHES: dict[str, int] = {}
-
-
-def words(text: str) -> list[str]:
-    """Words as compared: consistent characters, lower case, no accents."""
-    t = canonical(text).lower().translate(_FOLD)
-    if _RARE.search(t):
-        t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
-    return _WORD.findall(t)
+_HYPHEN = re.compile("(?<=[^\\W\\d_])[-\u2010\u00ad\u00ac]\\s*\\n\\s*(?=[^\\W\\d_])")
+_MEMO = Words(accents=False)
 
 
 def readings(text: str | None) -> list[list[str]]:
     """The text's words; a second reading with line-end hyphens joined if there are any."""
     if not text:
         return []
-    out = [words(text)]
+    out = [split(text)]
     if _HYPHEN.search(text):
-        out.append(words(_HYPHEN.sub("", text)))
+        out.append(split(_HYPHEN.sub("", text)))
     return out
 
 
-def hashes(ws: list[str]) -> np.ndarray:
-    """64-bit hash of each word, remembered by the worker."""
-    import xxhash
-
-    memo = _HASHES
-    if len(memo) > 1_000_000:
-        memo.clear()
-    for w in set(ws) - memo.keys():
-        memo[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(memo.__getitem__, ws), dtype=np.uint64, count=len(ws))
-
-
-def shingles(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every run of n words (order counts)."""
-    if len(h) < n:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        s = np.zeros(len(h) - n + 1, np.uint64)
-        for i in range(n):
-            s = s * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i]
-    return mix64(s)
-
-
-def window_minima(h: np.ndarray, run: int = RUN, n: int = SHINGLE) -> np.ndarray:
-    """MinHash of every run-word window, neighbours' repeats dropped."""
-    s = shingles(h, n)
-    span = run - n + 1
+def signatures(h: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature of every RUN-word window within one text, number of the text)."""
+    s = shingles(h, SHINGLE)
+    span = RUN - SHINGLE + 1
     if len(s) < span:
-        return np.zeros(0, np.uint64)
-    m = s[: len(s) - span + 1].copy()
-    for i in range(1, span):
-        np.minimum(m, s[i : len(s) - span + 1 + i], out=m)
-    return np.unique(m)
+        return s[:0], who[:0]
+    sig = np.zeros(len(s) - span + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(HASHES):
+            sig = mix64(sig * np.uint64(31) + running_min(s if k == 0 else mix64(s + np.uint64(k)), span))
+    inside = who[: len(sig)] == who[RUN - 1 : RUN - 1 + len(sig)]
+    return sig[inside], who[: len(sig)][inside]
 
 
-def minima(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, m): distinct window minima of each text."""
+def minima(df: DataFrame, id_col: str, text_col: str, sought: np.ndarray | None = None) -> DataFrame:
+    """(id, m): window signatures of each text; only those in ``sought`` if given."""
+    spark = df.sparkSession
+    sent = None if sought is None else spark.sparkContext.broadcast(np.sort(sought))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, ms = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            ids, lists = [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for ws in readings(t):
                     if len(ws) >= RUN:
-                        m = window_minima(hashes(ws))
-                        ms.append(m)
-                        ids.append(np.full(len(m), i, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(ms).view(np.int64))], names=["id", "m"])
+                        ids.append(i), lists.append(ws)
+            ids = np.array(ids, np.int64)
+            out_i, out_m = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for start, part in blocks(lists):
+                m, who = signatures(*flat(part, _MEMO))
+                if sent is not None and len(m) and len(sent.value):
+                    at = np.minimum(np.searchsorted(sent.value, m), len(sent.value) - 1)
+                    hit = sent.value[at] == m
+                    m, who = m[hit], who[hit]
+                elif sent is not None:
+                    m, who = m[:0], who[:0]
+                out_i.append(ids[start + who]), out_m.append(m)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_i)), pa.array(np.concatenate(out_m).view(np.int64))], names=["id", "m"])
 
     return df.select(F.col(id_col).cast("bigint"), F.col(text_col)).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).mapInArrow(run, "id bigint, m bigint")
 
 
+def run_set(text: str | None) -> set[tuple[str, ...]]:
+    """Every RUN-word shingle of a text, as words."""
+    return {tuple(ws[k : k + RUN]) for ws in ([fold(w) for w in r] for r in readings(text)) for k in range(len(ws) - RUN + 1)}
+
+
 def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): docs(doc_id, text) that hold a run of RUN words of items(item_id, text)."""
     sought = materialise(minima(items, "item_id", "text").distinct().select(F.col("id").alias("item_id"), "m"), "sought")
-    pairs = materialise(minima(docs, "doc_id", "text").join(small(sought), "m").select(F.col("id").alias("doc_id"), "item_id").distinct(), "pairs")
+    few = sought.count() <= SENT
+    wanted = np.array([r["m"] for r in sought.select("m").distinct().collect()], np.int64).view(np.uint64) if few else None
+    pairs = materialise(minima(docs, "doc_id", "text", wanted).join(small(sought), "m").select(F.col("id").alias("doc_id"), "item_id").distinct(), "pairs")
     per_doc = pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
     texts = docs.select("doc_id", "text").join(small(materialise(per_doc, "per_doc")), "doc_id")
     asked = texts.select("doc_id", "text", F.explode("items").alias("item_id")).join(small(materialise(items.select("item_id", F.col("text").alias("item")).distinct(), "items")), "item_id")
@@ -126,10 +113,9 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
             keep, last, grams = [], None, set()
             for d, t, item in zip(*(b.column(k).to_pylist() for k in range(3))):
                 if (d, t) != last:
-                    last = (d, t)
-                    grams = {tuple(ws[k : k + RUN]) for ws in readings(t) for k in range(len(ws) - RUN + 1)}
+                    last, grams = (d, t), run_set(t)
                 if item not in memo:
-                    memo[item] = {tuple(ws[k : k + RUN]) for ws in readings(item) for k in range(len(ws) - RUN + 1)}
+                    memo[item] = run_set(item)
                 keep.append(not grams.isdisjoint(memo[item]))
             yield b.select([0, 3]).filter(pa.array(keep, pa.bool_()))
 
