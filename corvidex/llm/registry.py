@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from .cut import p10_found, p10_rates
 from .encode import encode_texts
+from .language import p3_found, p3_segments
 from .neardup import p5_classes, p5_found
 from .neighbours import p1_found, p1_topk
 from .leak import p9_found, p9_report
 from .lookalike import p4_canonical, p4_found
 from .rankfuse import p6_found, p6_ranking
+from .scanned import p2_found, p2_repaired
 from .repeated import p7_blocks, p7_cleaned, p7_found
 from .common import table
 
@@ -20,6 +22,10 @@ def p8_ids(spark, base):
 QUERIES = {
     "p1_found": p1_found,
     "p1_topk": p1_topk,
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
+    "p3_found": p3_found,
+    "p3_segments": p3_segments,
     "p4_found": p4_found,
     "p4_canonical": p4_canonical,
     "p5_found": p5_found,
