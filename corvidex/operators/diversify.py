@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
@@ -66,7 +67,7 @@ def mmr(ranking: DataFrame, lam: float = 0.7, n: int = 10, window: int = 60, gra
         order = picked + left
         return pd.DataFrame({"query_id": pdf["query_id"], "chunk_id": pdf["chunk_id"].to_numpy()[order], "place": range(1, len(order) + 1)})
 
-    schema = ranking.select("query_id", "chunk_id").schema.add("place", "int")
+    schema = ranking.select("query_id", "chunk_id").schema.add("place", IntegerType())
     placed = head.groupBy("query_id").applyInPandas(fold, schema)
     out = ranking.where(F.col("rank") <= window).join(placed, ["query_id", "chunk_id"])
     return out.unionByName(ranking.where(F.col("rank") > window).withColumn("place", F.col("rank").cast("int")))

@@ -110,7 +110,7 @@ def q_norm_text(spark, base):
  '([\p{L}\p{N}_])-\n([\p{L}\p{N}_])', '\1\2', 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '([^\n])\n([^\n])', '\1 \2', 'g'), '[ \t\x{00A0}\x{2007}\x{202F}]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS cleaned
  FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '\n.\n')""")
 def q_clean(spark, base):
-    return docs(spark, base, "text").where(r"text is null or not text rlike '\\n.\\n'").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
+    return docs(spark, base, "text").where(r"text is null or not text rlike '\\n[^\\n]\\n'").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
 
 
 @query("SELECT doc_id, replace(replace(replace(text, chr(133), ' '), chr(8232), ' '), chr(8233), ' ') AS text FROM documents")
@@ -622,11 +622,11 @@ def q_exclude(spark, base):
     return p.select("path", inventory.excluded_by(F.col("path")).alias("pattern"))
 
 
-@query("""WITH f AS (SELECT DISTINCT 'x/informe_' || doc_id || unnest(CASE doc_id % 3 WHEN 0 THEN ['-spa', '-chi', '_rus'] WHEN 1 THEN ['-chi', '-rus'] ELSE ['eng', '-por', '-fra'] END) || '.pdf' AS path, doc_id FROM documents WHERE doc_id < 100000)
+@query("""WITH f AS (SELECT DISTINCT 'x/informe_' || doc_id || unnest(CASE doc_id % 3 WHEN 0 THEN ['-spa', '-chi', '_rus'] WHEN 1 THEN ['-chi', '-rus'] ELSE ['eng', '-por', '-fra'] END) || '.pdf' AS path, doc_id FROM documents)
 SELECT path FROM f WHERE (doc_id % 3 = 0 AND (path LIKE '%-chi.pdf' OR path LIKE '%_rus.pdf')) OR (doc_id % 3 = 2 AND path LIKE '%-fra.pdf')""")
 def q_translations(spark, base):
     kinds = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("-spa"), F.lit("-chi"), F.lit("_rus"))).when(F.col("doc_id") % 3 == 1, F.array(F.lit("-chi"), F.lit("-rus"))).otherwise(F.array(F.lit("eng"), F.lit("-por"), F.lit("-fra")))
-    f = docs(spark, base).where("doc_id < 100000").select(F.concat(F.lit("x/informe_"), F.col("doc_id").cast("string"), F.explode(kinds), F.lit(".pdf")).alias("path")).distinct()
+    f = docs(spark, base).select("doc_id", F.explode(kinds).alias("kind")).select(F.concat(F.lit("x/informe_"), F.col("doc_id").cast("string"), "kind", F.lit(".pdf")).alias("path")).distinct()
     return inventory.redundant_translations(f)
 
 
@@ -775,7 +775,7 @@ def _blocks(spark, base):
 GU = "gp AS (SELECT doc_id, page, x0 - reach AS gap, reach + (x0 - reach) / 2 AS cut FROM (SELECT *, max(x1) OVER (PARTITION BY doc_id, page ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}) WHERE x0 > reach)"
 
 
-@query(f"WITH {BK}, {GU.format(src='bk')} SELECT doc_id, page, cut, gap FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY gap DESC, cut) AS r FROM gp) WHERE r = 1 AND gap >= 21")
+@query(f"WITH {BK}, {GU.format(src='bk')} SELECT doc_id, page, cut, gap FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY gap DESC, cut) AS r FROM gp) WHERE r = 1 AND gap >= CAST(0.035 AS DOUBLE) * 600")
 def q_gutter(spark, base):
     return layout.widest_cut(_blocks(spark, base), layout.GUTTER * F.col("width"))
 
@@ -788,7 +788,7 @@ def q_furniture(spark, base):
     return layout.mark_furniture(_blocks(spark, base)).select("doc_id", "page", "seq", "furniture")
 
 
-TU = f"""{BK}, {FU.replace('0.35', '0.60')}, co AS (SELECT * FROM fu WHERE NOT furniture), {GU.format(src='co')}, wc AS (SELECT doc_id, page, cut FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY gap DESC, cut) AS r FROM gp) WHERE r = 1 AND gap >= 21),
+TU = f"""{BK}, {FU.replace('0.35', '0.60')}, co AS (SELECT * FROM fu WHERE NOT furniture), {GU.format(src='co')}, wc AS (SELECT doc_id, page, cut FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY gap DESC, cut) AS r FROM gp) WHERE r = 1 AND gap >= CAST(0.035 AS DOUBLE) * 600),
 tu AS (SELECT pg.doc_id, pg.page, coalesce(width > height * 1.25 AND abs(cut - width / 2) <= width * 0.04, false) AS two_up FROM (SELECT doc_id, page, max(width) AS width, max(height) AS height FROM bk GROUP BY 1, 2) pg LEFT JOIN wc USING (doc_id, page))"""
 
 
