@@ -53,7 +53,7 @@ def redundant_translations(files: DataFrame, keep_below: int = PREFERRED_BELOW)
     x = files.where(T.suffix(F.col("path")) == "pdf").select("path", F.lower(F.regexp_extract(s, pattern, 1)).alias("language"), F.regexp_replace(F.lower(F.regexp_replace(s, pattern, "")), "[-_]+$", "").alias("base"))
     x = x.where((F.col("language") != "") & (F.length("base") >= 8))
     ranks = F.create_map(*[F.lit(v) for kv in LANGUAGE_RANK.items() for v in kv])
-    x = x.withColumn("rank", F.coalesce(F.element_at(ranks, "language"), F.lit(6)))
+    x = x.withColumn("rank", F.coalesce(F.element_at(ranks, F.col("language")), F.lit(6)))
     good = x.groupBy("base").agg(F.count_distinct("language").alias("languages"), F.min("rank").alias("best")).where((F.col("languages") > 1) & (F.col("best") < keep_below))
     return x.where(F.col("rank") >= keep_below).join(good, "base", "left_semi").select("path")
 

@@ -758,7 +758,7 @@ def q_units_heading_trail(spark, base):
 
 # ---- layout (blocks derived from line items: an order is a page) ------------
 
-BK = """bk AS (SELECT l_orderkey // 8 AS doc_id, l_orderkey AS page, l_linenumber AS seq, CAST((l_partkey % 3) * 200 + l_suppkey % 20 AS DOUBLE) AS x0, CAST(l_linenumber * 100 AS DOUBLE) AS y0,
+BK = """bk AS (SELECT l_orderkey // 8 AS doc_id, l_orderkey AS page, l_linenumber * 1000000 + l_partkey AS seq, CAST((l_partkey % 3) * 200 + l_suppkey % 20 AS DOUBLE) AS x0, CAST(l_linenumber * 100 AS DOUBLE) AS y0,
  CAST((l_partkey % 3) * 200 + l_suppkey % 20 + 120 + 20 * (l_partkey % 7) AS DOUBLE) AS x1, CAST(l_linenumber * 100 + 60 AS DOUBLE) AS y1, repeat('x', CAST(l_quantity AS INT)) AS text, 600.0 AS width, CASE WHEN l_orderkey % 2 = 0 THEN 400.0 ELSE 800.0 END AS height FROM lineitem)"""
 
 
@@ -766,7 +766,7 @@ def _blocks(spark, base):
     li = table(spark, base, "lineitem")
     x0 = ((F.col("l_partkey") % 3) * 200 + F.col("l_suppkey") % 20).cast("double")
     return li.select(
-        F.floor(F.col("l_orderkey") / 8).alias("doc_id"), F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("seq"), x0.alias("x0"), (F.col("l_linenumber") * 100).cast("double").alias("y0"),
+        F.floor(F.col("l_orderkey") / 8).alias("doc_id"), F.col("l_orderkey").alias("page"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("seq"), x0.alias("x0"), (F.col("l_linenumber") * 100).cast("double").alias("y0"),
         (x0 + 120 + 20 * (F.col("l_partkey") % 7)).alias("x1"), (F.col("l_linenumber") * 100 + 60).cast("double").alias("y1"), F.repeat(F.lit("x"), F.col("l_quantity").cast("int")).alias("text"), F.lit(600.0).alias("width"),
         F.when(F.col("l_orderkey") % 2 == 0, 400.0).otherwise(800.0).alias("height"),
     )
@@ -816,11 +816,11 @@ def q_font_mode(spark, base):
 
 
 def _units(spark, base):
-    kind = F.when(F.col("seq") % 3 == 1, "heading").otherwise("callout")
+    kind = F.when(F.floor(F.col("seq") / 1000000) % 3 == 1, "heading").otherwise("callout")
     return _blocks(spark, base).withColumn("kind", kind).withColumn("text", F.concat(F.lit("h"), F.col("seq").cast("string")))
 
 
-@query(f"""WITH {BK}, h AS (SELECT * FROM bk WHERE seq % 3 = 1), c AS (SELECT * FROM bk WHERE seq % 3 <> 1)
+@query(f"""WITH {BK}, h AS (SELECT * FROM bk WHERE seq // 1000000 % 3 = 1), c AS (SELECT * FROM bk WHERE seq // 1000000 % 3 <> 1)
 SELECT doc_id, page, seq, heading FROM (SELECT c.doc_id, c.page, c.seq, 'h' || h.seq AS heading, row_number() OVER (PARTITION BY c.doc_id, c.page, c.seq ORDER BY c.y0 - h.y1, h.seq) AS r FROM c JOIN h ON c.doc_id = h.doc_id AND c.page = h.page AND h.y1 <= c.y0 AND h.x0 < c.x1 AND h.x1 > c.x0) WHERE r = 1""")
 def q_callout_context(spark, base):
     return layout.nearest_heading(_units(spark, base))
@@ -844,8 +844,9 @@ def q_page_columns(spark, base):
 
 @query()
 def q_stat_callouts(spark, base):
-    s = _blocks(spark, base).withColumn("size", F.when(F.col("seq") % 3 == 1, 24.0).otherwise(10.0)).withColumn("body_size", F.lit(10.0))
-    return layout.stat_callouts(s.withColumn("text", F.when(F.col("seq") % 3 == 1, F.concat(F.col("seq").cast("string"), F.lit("5%"))).otherwise(F.lit("of seed grants"))))
+    figure = F.floor(F.col("seq") / 1000000) % 3 == 1
+    s = _blocks(spark, base).withColumn("size", F.when(figure, 24.0).otherwise(10.0)).withColumn("body_size", F.lit(10.0))
+    return layout.stat_callouts(s.withColumn("text", F.when(figure, F.concat((F.col("seq") % 1000).cast("string"), F.lit("5%"))).otherwise(F.lit("of seed grants"))))
 
 
 @query("SELECT l_orderkey AS order_no, l_linenumber AS seq, regexp_full_match(t, '[\\$€£]?\\s*[\\d.,]+\\s*[%kKmMbB+]?') AS stat FROM (SELECT *, CAST(CAST(l_quantity AS INT) AS VARCHAR) || CASE l_linenumber % 3 WHEN 0 THEN '%' WHEN 1 THEN ' words' ELSE 'M' END AS t FROM lineitem)")
