@@ -2,15 +2,20 @@
 
 Block: (doc_id, page, seq, x0, y0, x1, y1, text, width, height).  What a window
 can say (gaps, columns, furniture, fonts) is window algebra; the recursive cut
-of a page and the greedy merge of callouts are Arrow group maps over one page.
+of a page and the greedy merge of callouts are folds over one page.
 A page's blocks are bounded by what fits on a page.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window as W
 
 # Fixed values of the geometry.
@@ -176,49 +181,71 @@ def order_page(rows: list, width: float, height: float | None, trust_input: bool
     return out + sorted(edge, key=lambda r: (round(r[1], 1), r[0]))
 
 
+def by_page(df: DataFrame, fields: tuple[str, ...], fold, schema: str, keys: tuple[str, ...] = PAGE) -> DataFrame:
+    """Applies ``fold(keys, rows)`` to every page: its rows in ``seq`` order as one
+    array, many pages to an Arrow batch (a group call for each page would cost
+    more than the page).  ``fold`` yields output tuples."""
+    rows = F.array_sort(F.collect_list(F.struct("seq", *[f for f in fields if f != "seq"])))
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for *key, page in zip(*(c.to_pylist() for c in b.columns)):
+                out += fold(tuple(key), page)
+            cols = list(zip(*out)) if out else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+
+    grouped = df.groupBy(*keys).agg(rows.alias("rows"))
+    kinds = [f.type for f in to_arrow_schema(_parse_datatype_string(schema))]
+    return grouped.mapInArrow(run, schema)
+
+
+def _box(r: dict, *more: str) -> tuple:
+    return (r["x0"], r["y0"], r["x1"], r["y1"], *(r[m] for m in more))
+
+
 def reading_order(blocks: DataFrame, trust_input: bool = False) -> DataFrame:
     """(doc_id, page, seq, place): place of each block in reading order."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        rows = list(pdf[["x0", "y0", "x1", "y1", "text", "seq"]].itertuples(index=False, name=None))
-        done = order_page(rows, float(pdf["width"].iloc[0]), float(pdf["height"].iloc[0]), trust_input)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "page": pdf["page"].iloc[0], "seq": [r[5] for r in done], "place": range(1, len(done) + 1)})
+    def fold(key, rows):
+        done = order_page([_box(r, "text", "seq") for r in rows], float(rows[0]["width"]), float(rows[0]["height"]), trust_input)
+        return [(*key, r[5], n) for n, r in enumerate(done, 1)]
 
     t = dict(blocks.dtypes)
-    return blocks.groupBy(*PAGE).applyInPandas(run, f"doc_id {t['doc_id']}, page {t['page']}, seq {t['seq']}, place int")
+    return by_page(blocks, ("x0", "y0", "x1", "y1", "text", "width", "height"), fold, f"doc_id {t['doc_id']}, page {t['page']}, seq {t['seq']}, place int")
 
 
 def page_columns(blocks: DataFrame) -> DataFrame:
     """(doc_id, page, columns)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = list(pdf[["x0", "y0", "x1", "y1"]].itertuples(index=False, name=None))
-        return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "page": [pdf["page"].iloc[0]], "columns": [count_columns(rows, float(pdf["width"].iloc[0]) * GUTTER)]})
+    def fold(key, rows):
+        return [(*key, count_columns([_box(r) for r in rows], float(rows[0]["width"]) * GUTTER))]
 
     t = dict(blocks.dtypes)
-    return blocks.groupBy(*PAGE).applyInPandas(run, f"doc_id {t['doc_id']}, page {t['page']}, columns int")
+    return by_page(blocks, ("x0", "y0", "x1", "y1", "width"), fold, f"doc_id {t['doc_id']}, page {t['page']}, columns int")
+
+
+STAT = re.compile(r"^[\$€£]?\s*[\d.,]+\s*[%kKmMbB+]?$")
 
 
 def stat_callouts(spans: DataFrame, ratio: float = 1.7, slack: float = 6.0) -> DataFrame:
     """(doc_id, page, text): large figures merged with the spans beside or below
     them.  spans carry ``size`` and ``body_size``; the merge is greedy in seq
-    order with a growing box, hence a page map."""
-    import re
+    order with a growing box, hence a page fold."""
 
-    stat = re.compile(r"^[\$€£]?\s*[\d.,]+\s*[%kKmMbB+]?$")
+    def large(r) -> bool:
+        return r["size"] >= ratio * r["body_size"] and STAT.match(r["text"].strip()) is not None
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("seq").to_dict("records")
+    def fold(key, rows):
         used: set[int] = set()
-        out = []
         for i, a in enumerate(rows):
-            if i in used or not stat.match(a["text"].strip()) or a["size"] < ratio * a["body_size"]:
+            if i in used or not large(a):
                 continue
             used.add(i)
-            box, parts = [a["x0"], a["y0"], a["x1"], a["y1"]], [a["text"].strip()]
+            box, parts = list(_box(a)), [a["text"].strip()]
             for j, b in enumerate(rows):
-                if j in used or (stat.match(b["text"].strip()) and b["size"] >= ratio * b["body_size"]):
+                if j in used or large(b):
                     continue
                 beside = b["y0"] < box[3] and b["y1"] > box[1] and -slack <= b["x0"] - box[2] <= slack
                 below = b["x0"] < box[2] and b["x1"] > box[0] and -slack <= b["y0"] - box[3] <= slack
@@ -226,25 +253,22 @@ def stat_callouts(spans: DataFrame, ratio: float = 1.7, slack: float = 6.0) -> D
                     used.add(j)
                     parts.append(b["text"].strip())
                     box = [min(box[0], b["x0"]), min(box[1], b["y0"]), max(box[2], b["x1"]), max(box[3], b["y1"])]
-            out.append((a["doc_id"], a["page"], " ".join(parts)))
-        return pd.DataFrame(out, columns=["doc_id", "page", "text"])
+            yield (*key, " ".join(parts))
 
     t = dict(spans.dtypes)
-    return spans.groupBy(*PAGE).applyInPandas(run, f"doc_id {t['doc_id']}, page {t['page']}, text string")
+    return by_page(spans, ("x0", "y0", "x1", "y1", "text", "size", "body_size"), fold, f"doc_id {t['doc_id']}, page {t['page']}, text string")
 
 
 def heading_trail(items: DataFrame) -> DataFrame:
     """items(doc_id, seq, level, label, text) -> units with the trail of headings
     above (array); a heading closes those of its level and deeper."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(key, rows):
         trail: list[tuple[int, str]] = []
-        out = []
-        for r in pdf.sort_values("seq").itertuples():
-            if r.label == "heading":
-                trail = [h for h in trail if h[0] < r.level] + [(r.level, r.text)]
-            out.append((r.doc_id, r.seq, r.label, r.text, [h for _, h in trail]))
-        return pd.DataFrame(out, columns=["doc_id", "seq", "kind", "text", "heading_path"])
+        for r in rows:
+            if r["label"] == "heading":
+                trail = [h for h in trail if h[0] < r["level"]] + [(r["level"], r["text"])]
+            yield (*key, r["seq"], r["label"], r["text"], [h for _, h in trail])
 
     t = dict(items.dtypes)
-    return items.groupBy("doc_id").applyInPandas(run, f"doc_id {t['doc_id']}, seq {t['seq']}, kind string, text string, heading_path array<string>")
+    return by_page(items, ("level", "label", "text"), fold, f"doc_id {t['doc_id']}, seq {t['seq']}, kind string, text string, heading_path array<string>", ("doc_id",))
