@@ -98,10 +98,20 @@ def tokenize(c: Column) -> Column:
     return F.filter(all_words(c), lambda w: (F.length(w) > 1) & ~w.isin(*STOPWORDS))
 
 
+def once(value: Column, f) -> Column:
+    """f(value) with value computed once a row: bound as a lambda's variable, so
+    that lambdas inside f do not compute it again for every element."""
+    return F.transform(F.array(value), f)[0]
+
+
 def grams(words: Column, n: int) -> Column:
     """Distinct n-grams of a word array; fewer words make one gram, no words none."""
-    many = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0))), lambda i: F.array_join(F.slice(words, i + 1, n), " ")))
-    return F.when(F.size(words) == 0, F.array().cast("array<string>")).otherwise(many)
+
+    def of(w: Column) -> Column:
+        many = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0))), lambda i: F.array_join(F.slice(w, i + 1, n), " ")))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(many)
+
+    return once(words, of)
 
 
 def shingles(c: Column, n: int = 8) -> Column:
@@ -196,10 +206,13 @@ def is_stat_number(c: Column) -> Column:
 
 def windows(text: Column, size: int = 300, overlap: int = 40) -> Column:
     """array<struct<start_word, text>>: overlapping word windows; a text within one window is one."""
-    w = F.filter(F.split(text, r"\s+"), lambda x: x != "")
     step = max(1, size - overlap)
-    last = F.greatest(F.ceil((F.size(w) - size) / F.lit(step)).cast("int"), F.lit(0))
-    return F.transform(F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("start_word"), F.array_join(F.slice(w, k * step + 1, size), " ").alias("text")))
+
+    def of(w: Column) -> Column:
+        last = F.greatest(F.ceil((F.size(w) - size) / F.lit(step)).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("start_word"), F.array_join(F.slice(w, k * step + 1, size), " ").alias("text")))
+
+    return once(F.filter(F.split(text, r"\s+"), lambda x: x != ""), of)
 
 
 def html_text(html: Column) -> Column:
