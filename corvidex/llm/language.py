@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ PENALTY, CHANGE = 12.0, 6.0
 #: Greatest disadvantage one word can bring to a language.
 CLIP = 5.0
 KNOWN_WORD = 3
+#: Texts handled at once.
+BLOCK = 2000
 
 # Ways in which labels write the languages.
 LABELS = {
@@ -50,7 +53,8 @@ LABELS = {
 }
 _OF_LABEL = {w: k for k, ws in LABELS.items() for w in ws}
 _WORD = re.compile(r"[^\W_]+")
-_CLAUSE = re.compile(r"[^.!?…;:,()«»\"“”\[\]|\n—–]+")
+#: Words, and runs of what parts clauses.
+_TOKEN = re.compile(r"[^\W_]+|[.!?…;:,()«»\"“”\[\]|\n—–]+")
 
 
 def named(label: str | None) -> str | None:
@@ -140,29 +144,36 @@ class Model:
 
 
 class Scores(dict):
-    """Memo word -> row of the score table."""
+    """Memo token -> row of a growing score table; row 0 stands for what parts clauses."""
 
     def __init__(self, model: Model, most: int = 500_000):
         super().__init__()
         self.model, self.most = model, most
-        self.rows: list[np.ndarray] = []
-
-    def __missing__(self, w: str) -> int:
-        self.rows.append(self.model.word(w))
-        n = self[w] = len(self.rows) - 1
+        self.table = np.zeros((1024, len(LANGUAGES)), np.float32)
+        self.used = 1
+
+    def __missing__(self, token: str) -> int:
+        if not (token[0].isalnum()):
+            self[token] = 0
+            return 0
+        if self.used == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        n = self[token] = self.used
+        self.table[n] = self.model.word(token)
+        self.used += 1
         return n
 
     def trim(self) -> None:
         """Forgets everything between batches once it is too large (speed only)."""
-        if len(self) > self.most:
+        if self.used > self.most:
             self.clear()
-            self.rows.clear()
+            self.used = 1
 
 
 # ---- one text ----------------------------------------------------------------
 
 
-def mixture(units: np.ndarray, steps: int = 12) -> tuple[list[int], np.ndarray]:
+def mixture(units: np.ndarray, steps: int = 8) -> tuple[list[int], np.ndarray]:
     """(language set, proportions) of a text's clauses (clauses x languages log
     likelihoods): languages enter while the likelihood gained exceeds PENALTY."""
     chosen = [int(units.sum(axis=0).argmax())]
@@ -171,7 +182,8 @@ def mixture(units: np.ndarray, steps: int = 12) -> tuple[list[int], np.ndarray]:
     while len(chosen) < units.shape[1]:
         best = None
         for k in range(units.shape[1]):
-            if k in chosen:
+            # a mixture gains no more than taking the better language clause by clause
+            if k in chosen or np.maximum(units[:, k] - units[:, chosen].max(axis=1), 0).sum() < PENALTY:
                 continue
             cols = units[:, [*chosen, k]]
             top = cols.max(axis=1, keepdims=True)
@@ -208,10 +220,6 @@ def path(units: np.ndarray, chosen: list[int], pi: np.ndarray) -> np.ndarray:
     return np.array(chosen)[out]
 
 
-def clauses(text: str) -> list[list[str]]:
-    return [ws for ws in (_WORD.findall(c) for c in _CLAUSE.findall(plain(text).lower())) if ws]
-
-
 def segments_of(units: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, int, float]]:
     """(language, first word, words, confidence) of a text's stretches."""
     chosen, pi = mixture(units)
@@ -227,6 +235,43 @@ def segments_of(units: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, in
     return out
 
 
+def analyse(tokens: list[list[str]], memo: Scores) -> tuple[np.ndarray, ...]:
+    """Stretches of many texts as columns: text, words of the text, language,
+    first word, words, confidence.  Clause likelihoods of all texts are summed at
+    once; a text whose clauses cannot gain PENALTY from any second language has
+    one stretch, and only the others are worked through one by one."""
+    n = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    ids = np.fromiter(map(memo.__getitem__, chain.from_iterable(tokens)), np.int64, int(n.sum()))
+    who = np.repeat(np.arange(len(tokens)), n)
+    word = ids > 0
+    if not word.any():
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, none, none.astype(float)
+    clause = np.cumsum(np.r_[True, ~word[:-1] | (who[1:] != who[:-1])])[word]
+    w, who = ids[word], who[word]
+    first = np.flatnonzero(np.r_[True, clause[1:] != clause[:-1]])
+    units = np.add.reduceat(memo.table[w], first, axis=0)
+    sizes = np.diff(first, append=len(w))
+    owner = who[first]
+    start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    stop = np.r_[start[1:], len(owner)]
+    total = np.add.reduceat(sizes, start)
+    main = np.add.reduceat(units, start, axis=0).argmax(axis=1)
+    lead = np.repeat(main, stop - start)
+    gain = np.add.reduceat(np.maximum(units - np.take_along_axis(units, lead[:, None], 1), 0), start, axis=0).max(axis=1)
+    e = np.exp(units - units.max(axis=1, keepdims=True))
+    post = np.take_along_axis(e, lead[:, None], 1)[:, 0] / e.sum(axis=1)
+    sure = np.add.reduceat(post * sizes, start) / total
+    one = gain < PENALTY
+    out = [[owner[start][one]], [total[one]], [main[one]], [np.zeros(int(one.sum()), np.int64)], [total[one]], [sure[one]]]
+    for t in np.flatnonzero(~one):
+        rows = segments_of(units[start[t] : stop[t]], sizes[start[t] : stop[t]])
+        lang, at, k, conf = map(np.array, zip(*rows))
+        for col, v in zip(out, (np.full(len(rows), owner[start[t]]), np.full(len(rows), total[t]), lang, at, k, conf)):
+            col.append(v)
+    return tuple(np.concatenate(c) for c in out)
+
+
 # ---- all texts ----------------------------------------------------------------
 
 
@@ -236,27 +281,17 @@ def stretches(rows: DataFrame, model: Model) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(model)
     schema = "src string, id bigint, label string, words int, lang string, first_word int, n_words int, confidence double"
     names = [f.split()[0] for f in schema.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Scores(sent.value)
         for b in batches:
             memo.trim()
-            cols: list[list] = [[] for _ in names]
-            for src, i, text, label in zip(*(b.column(k).to_pylist() for k in range(4))):
-                cs = clauses(text)
-                if not cs:
-                    continue
-                sizes = np.fromiter(map(len, cs), np.int64, len(cs))
-                n = int(sizes.sum())
-                at = [memo[w] for c in cs for w in c]
-                table_ = memo.rows
-                m = np.array([table_[k] for k in at])
-                units = np.add.reduceat(m, np.r_[0, np.cumsum(sizes)[:-1]], axis=0)
-                for lang, first, k, conf in segments_of(units, sizes):
-                    for c, v in zip(cols, (src, i, label, n, LANGUAGES[lang], first, k, conf)):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+            texts = b.column(2).to_pylist()
+            for at in range(0, len(texts), BLOCK):
+                found = analyse([_TOKEN.findall(plain(t).lower()) for t in texts[at : at + BLOCK]], memo)
+                who = pa.array(found[0] + at)
+                cols = [b.column(0).take(who), b.column(1).take(who), b.column(3).take(who), pa.array(found[1], pa.int32()), pa.array(np.array(LANGUAGES, object)[found[2]], pa.string())]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(found[3], pa.int32()), pa.array(found[4], pa.int32()), pa.array(found[5], pa.float64())], names=names)
 
     return rows.select("src", "id", "text", "label").mapInArrow(run, schema)
 
