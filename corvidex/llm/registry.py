@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .cut import p10_found, p10_rates
 from .encode import encode_texts
 from .language import p3_found, p3_segments
@@ -12,11 +14,17 @@ from .lookalike import p4_canonical, p4_found
 from .rankfuse import p6_found, p6_ranking
 from .scanned import p2_found, p2_repaired
 from .repeated import p7_blocks, p7_cleaned, p7_found
-from .common import table
+from .common import materialise, small, table
 
 
 def p8_ids(spark, base):
-    return encode_texts(table(spark, base, "documents"))
+    """Ids of every document.  Rows stored twice count once: only ids are counted,
+    and only texts of repeated ids are exchanged."""
+    docs = table(spark, base, "documents").select("doc_id", "text").where("doc_id is not null")
+    twice = materialise(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "twice")
+    if not twice.isEmpty():
+        docs = docs.join(small(twice), "doc_id", "left_anti").unionByName(docs.join(small(twice), "doc_id", "left_semi").distinct())
+    return encode_texts(docs)
 
 
 QUERIES = {
