@@ -59,6 +59,27 @@ def heuristic_mentions(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk_id", "text").mapInPandas(run, "chunk_id bigint, name string, group string, start int, end int")
 
 
+def gaps_of(text: str) -> list[str]:
+    """Text between each two neighbouring mentions that do not overlap, in order."""
+    out, end = [], None
+    for _, _, a, b in sorted(spans_of(text), key=lambda m: (m[2], -m[3])):
+        if end is not None and a >= end:
+            out.append(text[end:a])
+        end = b if end is None else max(end, b)
+    return out
+
+
+def gaps(chunks: DataFrame) -> DataFrame:
+    """chunks(chunk_id, text) -> (chunk_id, gap_no, between), a narrow Arrow map over whole texts; null texts give none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, k, g) for i, t in zip(b["chunk_id"], b["text"]) if t for k, g in enumerate(gaps_of(t))]
+            yield pd.DataFrame(rows, columns=["chunk_id", "gap_no", "between"])
+
+    return chunks.select("chunk_id", "text").mapInPandas(run, "chunk_id bigint, gap_no int, between string")
+
+
 def clean_mentions(mentions: DataFrame) -> DataFrame:
     """Normalised, noise-free mentions: first of each (chunk, entity, group), at most ENTITIES_PER_CHUNK a chunk."""
     key = T.norm_entity(F.col("name"))

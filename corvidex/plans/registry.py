@@ -113,6 +113,12 @@ def q_clean(spark, base):
     return docs(spark, base, "text").where(r"text is null or not text rlike '\\n[^\\n]\\n'").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
 
 
+@query()
+def q_clean_all(spark, base):
+    """Every text, also those with one-character lines, where the SQL of ``q_clean`` has no lookaround."""
+    return docs(spark, base, T.clean(F.col("text")).alias("cleaned"))
+
+
 @query("SELECT doc_id, replace(replace(replace(text, chr(133), ' '), chr(8232), ' '), chr(8233), ' ') AS text FROM documents")
 def q_sanitize(spark, base):
     return docs(spark, base, T.sanitize(F.col("text")).alias("text"))
@@ -131,6 +137,13 @@ def q_norm_names(spark, base):
     return n.select("name", T.norm_doc(F.col("name")).alias("doc_key"), T.norm_name(F.col("name")).alias("inv_key"))
 
 
+@query()
+def q_norm_names_all(spark, base):
+    """Every file name, in whatever script."""
+    n = table(spark, base, "chunks").select(F.col("nombre_archivo").alias("name")).where("name is not null").distinct()
+    return n.select("name", T.norm_doc(F.col("name")).alias("doc_key"), T.norm_name(F.col("name")).alias("inv_key"))
+
+
 @query(r"""SELECT source, count(*) AS n FROM (SELECT trim(regexp_replace(strip_accents(lower(trim(source))), '[^\p{L}\p{N}_]+', ' ', 'g')) AS source FROM documents) GROUP BY 1""")
 def q_norm_entity(spark, base):
     return docs(spark, base, T.norm_entity(F.col("source")).alias("source")).groupBy("source").agg(F.count("*").alias("n"))
@@ -146,6 +159,13 @@ def q_graph_relation_type(spark, base):
     return docs(spark, base, "text").where("text is not null").select("doc_id", T.relation_type(part).alias("relacion"))
 
 
+@query()
+def q_graph_relation_type_all(spark, base):
+    """Relation of every two neighbouring mentions over whole texts."""
+    gaps = graph.gaps(docs(spark, base, "text").withColumnRenamed("doc_id", "chunk_id"))
+    return gaps.select(F.col("chunk_id").alias("doc_id"), "gap_no", T.relation_type(F.col("between")).alias("relacion"))
+
+
 @query(r"""SELECT doc_id, k AS window_no, len(w[k * 260 + 1:k * 260 + 300]) AS n_words FROM (SELECT doc_id, w, unnest(range(0, greatest(CAST(ceil((len(w) - 300) / 260.0) AS INT), 0) + 1)) AS k
  FROM (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL))""")
 def q_windows(spark, base):
@@ -557,6 +577,13 @@ def q_json_fields(spark, base):
     return d.select("doc_id", sources.json_fields(raw).alias("body"))
 
 
+@query()
+def q_json_fields_all(spark, base):
+    """Every text, also those with line feeds and control characters."""
+    raw = F.to_json(F.struct("title", "text", F.col("text").alias("texto")))
+    return docs(spark, base, "title", "text").select("doc_id", sources.json_fields(raw).alias("body"))
+
+
 @query()
 def q_json_documents(spark, base):
     d = docs(spark, base, "title", "text")
