@@ -35,7 +35,7 @@ from .common import big, materialise, small, table
 CONFUSIONS = (("c", "e"), ("l", "i"), ("0", "o"), ("0", "ó"), ("5", "s"), ("f", "t"), ("ii", "u"), ("cl", "d"), ("1", "l"), ("rn", "m"), ("m", "rn"), ("9", "g"), ("6", "ó"), ("6", "b"), ("li", "h"))
 #: The right word is at least so many times as frequent, and stands so often.
 RATIO, RIGHT = 20, 10
-#: Misread words are sent to the workers for repairing texts only up to so many.
+#: Misread words are sent to the workers for repairing texts only up to so many; beyond, each text is joined with its own.
 SENT = 400_000
 
 _MARK = r"[-\u2010\u00ad\u00ac]"
@@ -349,8 +349,8 @@ class Noise:
         return out.unionByName(mark(lab.where("header"), "header")).unionByName(mark(lab.where("pagenum"), "pagenum")).distinct()
 
 
-def reassemble(text: str, title: str | None, emit: np.ndarray, right: dict[str, str], openers: frozenset[str] = frozenset()) -> str:
-    """Continuous paragraphs of one text."""
+def paragraphs(text: str, title: str | None, emit: np.ndarray, openers: frozenset[str] = frozenset()) -> str:
+    """Continuous paragraphs of one text, words as they stand."""
     lines = text.split("\n")
     codes = features(lines, title, openers) if len(lines) > 2 else []
     if codes:
@@ -364,7 +364,11 @@ def reassemble(text: str, title: str | None, emit: np.ndarray, right: dict[str,
             kept.append(x)
         text = "\n".join(kept)
     text = _JOIN.sub("", text)
-    text = re.sub(r"(?<![\n.!?…:;])[ \t]*\n(?=[^\W\d_A-ZÁÉÍÓÚÑ])", " ", text)
+    return re.sub(r"(?<![\n.!?…:;])[ \t]*\n(?=[^\W\d_A-ZÁÉÍÓÚÑ])", " ", text)
+
+
+def corrected(text: str, right: dict[str, str]) -> str:
+    """The text with its misread words replaced."""
 
     def fix(m: re.Match) -> str:
         w = m[0]
@@ -374,6 +378,32 @@ def reassemble(text: str, title: str | None, emit: np.ndarray, right: dict[str,
     return _WORD.sub(fix, text)
 
 
+def reassemble(text: str, title: str | None, emit: np.ndarray, right: dict[str, str], openers: frozenset[str] = frozenset()) -> str:
+    """Continuous paragraphs of one text, misread words replaced."""
+    return corrected(paragraphs(text, title, emit, openers), right)
+
+
+def corrected_by_join(texts: DataFrame, misread: DataFrame) -> DataFrame:
+    """(src, rec_id, text) of the written texts(src, rec_id, text), corrected: their
+    words meet the written table of misread words, and a row gets its own map."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted({w.lower() for w in _WORD.findall(t)}) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], names=["src", "rec_id", "words"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [corrected(t, dict(zip(w or (), r or ()))) for t, w, r in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["src", "rec_id", "text"])
+
+    schema = "src string, rec_id bigint, "
+    seen = texts.mapInArrow(words, schema + "words array<string>").select("src", "rec_id", F.explode("words").alias("word"))
+    own = seen.join(small(misread), "word").distinct().groupBy("src", "rec_id").agg(F.collect_list(F.struct("word", "right")).alias("own"))
+    both = texts.join(own, ["src", "rec_id"], "left").select("src", "rec_id", "text", "own.word", "own.right")
+    return both.mapInArrow(run, schema + "text string")
+
+
 def _rows(spark: SparkSession, base: str) -> DataFrame:
     d = table(spark, base, "documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text", "title")
     c = table(spark, base, "chunks").select(F.lit("chunks").alias("src"), big("chunk_id").alias("id"), F.col("texto").alias("text"), F.col("titulo").alias("title"))
@@ -389,15 +419,15 @@ def p2_repaired(spark: SparkSession, base: str) -> DataFrame:
     rows = _rows(spark, base)
     noise = Noise(rows)
     bad = materialise(noise.found().select("src", F.col("rec_id").alias("id")).distinct(), "noisy")
-    words = noise.misread
-    n = words.count()
-    right = {r["word"]: r["right"] for r in words.collect()} if n <= SENT else {}
+    here = noise.misread.count() <= SENT
+    right = {r["word"]: r["right"] for r in noise.misread.collect()} if here else {}
     sent = spark.sparkContext.broadcast((noise.emit, right, noise.openers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emit, known, openers = sent.value
         for b in batches:
-            out = [reassemble(t, title, emit, known, openers) for t, title in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            out = [corrected(paragraphs(t, title, emit, openers), known) for t, title in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["src", "rec_id", "text"])
 
-    return rows.join(small(bad), ["src", "id"], "left_semi").select("src", "id", "text", "title").mapInArrow(run, "src string, rec_id bigint, text string").distinct()
+    out = rows.join(small(bad), ["src", "id"], "left_semi").select("src", "id", "text", "title").mapInArrow(run, "src string, rec_id bigint, text string").distinct()
+    return out if here else corrected_by_join(materialise(out, "paragraphs"), noise.misread).distinct()

@@ -140,6 +140,16 @@ def test_p2_corrections():
     assert "regional" in scanned.corrections("re9ional") and "municipio" in scanned.corrections("rnunicipio") and not scanned.corrections("y")
 
 
+def test_p2_repairs_beyond_sent(spark, tmp_path, monkeypatch):
+    good = "El archivo regional del municipio quedó abierto y publicó el reglamento."
+    docs = [(i, good, "es", "s", None) for i in range(300)] + [(1000, "El archivo re9ional del rnunicipio quedó abierto.", "es", "s", None), (1001, "Rnunicipio y RE9IONAL.", "es", "s", None)]
+    base = write(spark, tmp_path, documents=(docs, DOCS), chunks=([], CHUNKS))
+    want = {(r.rec_id, r.text) for r in scanned.p2_repaired(spark, base).collect()}
+    assert want == {(1000, "El archivo regional del municipio quedó abierto."), (1001, "Municipio y REGIONAL.")}
+    monkeypatch.setattr(scanned, "SENT", 0)
+    assert {(r.rec_id, r.text) for r in scanned.p2_repaired(spark, base).collect()} == want
+
+
 # ---- 3 ----------------------------------------------------------------------
 
 SENT = {
