@@ -10,7 +10,9 @@ split by a mark at a line end are joined, header and page lines drop out, and
 misread words are replaced.
 
 A word is misread if a substitution of letters of like shape (CONFUSIONS) turns
-it into a word of the corpus vocabulary that is RATIO times as frequent.  Both
+it into a word of the corpus vocabulary that is RATIO times as frequent.  A
+Cyrillic word may hold a quote or a bar (CYRILLIC); a mark or figure inside it is
+evidence by itself, so there the right word only has to be as frequent.  Both
 vocabulary and misread words are tables that texts meet in joins.
 
 Defined cases: null and empty texts have no noise; plain line breaks are none;
@@ -33,6 +35,10 @@ from .common import big, materialise, small, table
 
 # What recognition writes, and what stood on the page.
 CONFUSIONS = (("c", "e"), ("l", "i"), ("0", "o"), ("0", "ó"), ("5", "s"), ("f", "t"), ("ii", "u"), ("cl", "d"), ("1", "l"), ("rn", "m"), ("m", "rn"), ("9", "g"), ("6", "ó"), ("6", "b"), ("li", "h"))
+CYRILLIC = (
+    ("a1", "а"), ("а1", "а"), ("п'", "п"), ("щ|", "ш"), ("'", ""), ("|", ""), ("1", ""), ("ь1", "ы"), ("ь|", "ы"), ("ьl", "ы"), ("ьі", "ы"), ("0", "о"), ("3", "з"), ("6", "б"), ("4", "ч"),
+    ("и", "н"), ("н", "и"), ("п", "л"), ("л", "п"), ("п", "н"), ("н", "п"), ("ш", "щ"), ("щ", "ш"), ("ц", "и"), ("и", "ц"), ("с", "е"), ("е", "с"), ("о", "с"), ("с", "о"), ("з", "э"), ("э", "з"), ("ь", "ъ"), ("ъ", "ь"), ("ж", "х"), ("х", "ж"),
+)
 #: The right word is at least so many times as frequent, and stands so often.
 RATIO, RIGHT = 20, 10
 #: Misread words are sent to the workers for repairing texts only up to so many; beyond, each text is joined with its own.
@@ -43,8 +49,12 @@ _SPLIT = re.compile(rf"([^\W\d_]+)({_MARK})[ \t]*\n[ \t]*([^\W\d_]+)")
 _JOIN = re.compile(rf"(?<=[^\W\d_]){_MARK}[ \t]*\n[ \t]*(?=[^\W\d_])")
 _MARK_AT_END = re.compile(rf"{_MARK}[ \t]*\n")
 _WORD = re.compile(r"[^\W_]+")
+#: A word with the quotes and bars that stand between Cyrillic letters; the same as a split in the JVM.
+_TOKEN = re.compile(r"[^\W_]+(?:(?<=[\u0400-\u04ff])['|](?=[\u0400-\u04ff])[^\W_]+)*")
+_BETWEEN = r"(?:[^\p{L}\p{N}'|]|(?<![\u0400-\u04ff])['|]|['|](?![\u0400-\u04ff]))+"
 _CYRILLIC = re.compile(r"[\u0400-\u04ff]")
-_CYRILLIC_MISREAD = re.compile(r"[Ѐ-ӿ](?:a1|а1)(?![a-z])|[Ѐ-ӿ]['|][Ѐ-ӿ]|[Ѐ-ӿ]1(?=[Ѐ-ӿ])")
+#: No word is written so: a mark, or a figure before the last letters.
+_BROKEN = re.compile(r"[\u0400-\u04ff](?:['|]|[aа]1|\d(?=[\u0400-\u04ff]))")
 _PAGE = re.compile(r"^[\W_]*(?:p[áa]g(?:ina)?\.?|page|p\.|стр\.?|страница|seite|hoja|folio)?[\W_]*\d{1,4}(?:\s*(?:/|de|of|из|sur)\s*\d{1,4})?[\W_]*$", re.IGNORECASE)
 _PAGE_ON_LINE = re.compile(r"(?:\s{2,}|\t|\[)\s*[-–—|]?\s*(?:p[áa]g(?:ina)?\.?|page|p\.|стр\.?)?\s*\d{1,4}(?:\s*/\s*\d{1,4})?\s*[\])]?\s*[-–—|]?\s*$|(?:p[áa]g(?:ina)?\.?|page|стр\.?)\s*\d{1,4}\s*\W*$|^\s*\[?\d{1,4}\]?(?:\s*/\s*\d{1,4})?\s*(?:\s{2,}|[|–—]\s)", re.IGNORECASE)
 _SEPARATED = re.compile(r"\s[|:/–—-]\s|^\s*[—–|]|[—–|]\s*$")
@@ -175,8 +185,8 @@ def features(lines: list[str], title: str | None, openers: frozenset[str] = froz
 
 # ---- passes over the texts ------------------------------------------------------
 
-_PASS = pa.schema([("src", pa.string()), ("id", pa.int64()), ("codes", pa.list_(pa.int16())), ("soft", pa.bool_()), ("splits", pa.list_(pa.string())), ("odd", pa.bool_()), ("numbered", pa.list_(pa.int32()))])
-_PASS_DDL = "src string, id bigint, codes array<smallint>, soft boolean, splits array<string>, odd boolean, numbered array<int>"
+_PASS = pa.schema([("src", pa.string()), ("id", pa.int64()), ("codes", pa.list_(pa.int16())), ("soft", pa.bool_()), ("splits", pa.list_(pa.string())), ("numbered", pa.list_(pa.int32()))])
+_PASS_DDL = "src string, id bigint, codes array<smallint>, soft boolean, splits array<string>, numbered array<int>"
 
 
 def title_openers(rows: DataFrame, share: float = 0.005) -> frozenset[str]:
@@ -208,10 +218,9 @@ def first_pass(rows: DataFrame, openers: frozenset[str] = frozenset()) -> DataFr
                             splits.append(f"{x.lower()}-{y.lower()}")
                         elif y[0].islower():
                             soft = True
-                odd = _CYRILLIC.search(raw) is not None and _CYRILLIC_MISREAD.search(raw.lower()) is not None
                 codes = features(raw.split("\n"), title, openers) if _OPEN_LINE.search(raw) else []
-                if codes or soft or splits or odd:
-                    for f, v in zip(_PASS.names, (src, i, codes, soft, splits, odd, [k for k, c in enumerate(codes) if c & NUMBERED])):
+                if codes or soft or splits:
+                    for f, v in zip(_PASS.names, (src, i, codes, soft, splits, [k for k, c in enumerate(codes) if c & NUMBERED])):
                         got[f].append(v)
             yield pa.RecordBatch.from_pydict(got, schema=_PASS)
 
@@ -228,7 +237,7 @@ def lowered(rows: DataFrame) -> Column:
 
 def vocabulary(rows: DataFrame) -> DataFrame:
     """(key, n): every word of all texts, counted in the JVM with partial sums."""
-    return rows.select(F.explode(F.split(lowered(rows), r"[^\p{L}\p{N}]+")).alias("key")).where("key <> ''").groupBy("key").agg(F.count("*").alias("n"))
+    return rows.select(F.explode(F.split(lowered(rows), _BETWEEN)).alias("key")).where("key <> ''").groupBy("key").agg(F.count("*").alias("n"))
 
 
 def compounds(rows: DataFrame) -> DataFrame:
@@ -247,30 +256,43 @@ def corrections(word: str) -> set[str]:
         while k >= 0:
             out.add(word[:k] + true + word[k + len(seen) :])
             k = word.find(seen, k + 1)
-    return {w for w in out if w != word and not any(c.isdigit() for c in w)}
+    if _CYRILLIC.search(word):
+        for seen, true in CYRILLIC:
+            if seen not in word or len(word) < (3 if seen in ("a1", "а1") else 4):
+                continue
+            if true:
+                out.add(word.replace(seen, true))
+            k = word.find(seen, 1 - bool(true))
+            while k >= 0:
+                if true or k + len(seen) < len(word):  # what was added stands inside
+                    out.add(word[:k] + true + word[k + len(seen) :])
+                k = word.find(seen, k + 1)
+            if not true:
+                out.add(word[0] + word[1:-1].replace(seen, "") + word[-1])
+    return {w for w in out if w != word and not any(c.isdigit() or c in "'|" for c in w)}
 
 
 def misread_words(vocab: DataFrame) -> DataFrame:
-    """(word, right): vocabulary words that undo to a word RATIO times as frequent."""
+    """(word, right): vocabulary words that undo to a word RATIO times as frequent, or as frequent if no word is written so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            w, c, n = [], [], []
+            w, c, n, e = [], [], [], []
             for word, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if any(ch.isalpha() for ch in word) and len(word) <= 40:
                     for r in corrections(word):
-                        w.append(word), c.append(r), n.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(n, pa.int64())], names=["word", "right", "n"])
+                        w.append(word), c.append(r), n.append(k), e.append(_BROKEN.search(word) is not None)
+            yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(n, pa.int64()), pa.array(e, pa.bool_())], names=["word", "right", "n", "broken"])
 
-    tried = vocab.mapInArrow(run, "word string, right string, n bigint")
-    ok = tried.join(vocab.select(F.col("key").alias("right"), F.col("n").alias("right_n")), "right").where((F.col("right_n") >= RIGHT) & (F.col("right_n") >= RATIO * F.col("n")))
+    tried = vocab.mapInArrow(run, "word string, right string, n bigint, broken boolean")
+    ok = tried.join(vocab.select(F.col("key").alias("right"), F.col("n").alias("right_n")), "right").where(((F.col("right_n") >= RIGHT) & (F.col("right_n") >= RATIO * F.col("n"))) | (F.col("broken") & (F.col("right_n") >= F.col("n"))))
     return ok.groupBy("word").agg(F.max_by("right", F.struct("right_n", "right")).alias("right"))
 
 
 def texts_with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(src, id) of rows whose text holds a word of the written table ``wanted(word)``:
     words meet the table before anything is exchanged."""
-    return rows.select("src", "id", F.explode(F.split(lowered(rows), r"[^\p{L}\p{N}]+")).alias("word")).join(small(wanted), "word", "left_semi").select("src", "id").distinct()
+    return rows.select("src", "id", F.explode(F.split(lowered(rows), _BETWEEN)).alias("word")).join(small(wanted), "word", "left_semi").select("src", "id").distinct()
 
 
 def trained(codes: DataFrame, rounds: int = 2, weight: float = 200.0) -> np.ndarray:
@@ -344,8 +366,7 @@ class Noise:
     def found(self) -> DataFrame:
         mark = lambda df, kind: df.select("src", F.col("id").alias("rec_id"), F.lit(kind).alias("noise"))
         lab = materialise(labelled(self.coded, self.emit), "labelled")
-        odd = self.facts.where("odd").select("src", "id")
-        out = mark(self.split_words(), "hyphen").unionByName(mark(texts_with(self.rows, materialise(self.misread.select("word"), "misread_only")).unionByName(odd), "chars"))
+        out = mark(self.split_words(), "hyphen").unionByName(mark(texts_with(self.rows, materialise(self.misread.select("word"), "misread_only")), "chars"))
         return out.unionByName(mark(lab.where("header"), "header")).unionByName(mark(lab.where("pagenum"), "pagenum")).distinct()
 
 
@@ -375,7 +396,7 @@ def corrected(text: str, right: dict[str, str]) -> str:
         r = right.get(w.lower())
         return w if r is None else r.upper() if w.isupper() and len(w) > 1 else r.capitalize() if w[0].isupper() else r
 
-    return _WORD.sub(fix, text)
+    return _TOKEN.sub(fix, text)
 
 
 def reassemble(text: str, title: str | None, emit: np.ndarray, right: dict[str, str], openers: frozenset[str] = frozenset()) -> str:
@@ -389,7 +410,7 @@ def corrected_by_join(texts: DataFrame, misread: DataFrame) -> DataFrame:
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted({w.lower() for w in _WORD.findall(t)}) for t in b.column(2).to_pylist()]
+            found = [sorted({w.lower() for w in _TOKEN.findall(t)}) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], names=["src", "rec_id", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

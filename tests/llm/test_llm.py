@@ -150,6 +150,16 @@ def test_p2_repairs_beyond_sent(spark, tmp_path, monkeypatch):
     assert {(r.rec_id, r.text) for r in scanned.p2_repaired(spark, base).collect()} == want
 
 
+def test_p2_cyrillic(spark, tmp_path):
+    good = "Группа публикует график наблюдения и решения района, список дом на север."
+    bad = {1000: "Груп'па публикует грa1фик.", 1001: "Рещ|ения района и нa1 север.", 1002: "Груииа и набпюдения.", 1003: "Об'єкт l'eau сп'янів, дом 3а, север'", 1004: "Спис0к и наблю1дения."}
+    docs = [(i, good, "ru", "s", None) for i in range(300)] + [(i, t, "ru", "s", None) for i, t in bad.items()]
+    base = write(spark, tmp_path, documents=(docs, DOCS), chunks=([], CHUNKS))
+    # 1002: one confusion a word is undone, so the first stays
+    assert {r.rec_id: r.text for r in scanned.p2_repaired(spark, base).collect()} == {1000: "Группа публикует график.", 1001: "Решения района и на север.", 1002: "Груииа и наблюдения.", 1004: "Список и наблюдения."}
+    assert {tuple(r)[1:] for r in scanned.p2_found(spark, base).collect()} == {(i, "chars") for i in (1000, 1001, 1002, 1004)}
+
+
 # ---- 3 ----------------------------------------------------------------------
 
 SENT = {
