@@ -7,13 +7,16 @@ letter case, separators, place).  Its parameters start from fixed tables and
 are re-estimated by Viterbi training on the feature sequences of all texts that
 hold a line in question.  Paragraphs are reassembled from body lines: words
 split by a mark at a line end are joined, header and page lines drop out, and
-misread words are replaced.
+misread words are replaced.  A line counts as repeated only where its neighbours
+differ from one place to the next, as a running line's do: a passage that stands
+twice in a text is body, and so is a line that ends in a split word.
 
 A word is misread if a substitution of letters of like shape (CONFUSIONS) turns
 it into a word of the corpus vocabulary that is RATIO times as frequent.  A
 Cyrillic word may hold a quote or a bar (CYRILLIC); a mark or figure inside it is
-evidence by itself, so there the right word only has to be as frequent.  Both
-vocabulary and misread words are tables that texts meet in joins.
+evidence by itself, so there the right word only has to be as frequent.  The
+vocabulary is counted in the scan that makes the features; misread words are sent
+to the workers up to SENT, and beyond it words meet them in a join.
 
 Defined cases: null and empty texts have no noise; plain line breaks are none;
 compounds that the corpus also writes with a hyphen inside a line are no split
@@ -23,12 +26,13 @@ words; repeated rows count once.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import big, materialise, small, table
@@ -44,14 +48,14 @@ RATIO, RIGHT = 20, 10
 #: Misread words are sent to the workers for repairing texts only up to so many; beyond, each text is joined with its own.
 SENT = 400_000
 
-_MARK = r"[-\u2010\u00ad\u00ac]"
+MARKS = "-\u2010\u00ad\u00ac"
+_MARK = f"[{MARKS}]"
 _SPLIT = re.compile(rf"([^\W\d_]+)({_MARK})[ \t]*\n[ \t]*([^\W\d_]+)")
 _JOIN = re.compile(rf"(?<=[^\W\d_]){_MARK}[ \t]*\n[ \t]*(?=[^\W\d_])")
 _MARK_AT_END = re.compile(rf"{_MARK}[ \t]*\n")
 _WORD = re.compile(r"[^\W_]+")
-#: A word with the quotes and bars that stand between Cyrillic letters; the same as a split in the JVM.
+#: A word with the quotes and bars that stand between Cyrillic letters.
 _TOKEN = re.compile(r"[^\W_]+(?:(?<=[\u0400-\u04ff])['|](?=[\u0400-\u04ff])[^\W_]+)*")
-_BETWEEN = r"(?:[^\p{L}\p{N}'|]|(?<![\u0400-\u04ff])['|]|['|](?![\u0400-\u04ff]))+"
 _CYRILLIC = re.compile(r"[\u0400-\u04ff]")
 #: No word is written so: a mark, or a figure before the last letters.
 _BROKEN = re.compile(r"[\u0400-\u04ff](?:['|]|[aа]1|\d(?=[\u0400-\u04ff]))")
@@ -59,9 +63,10 @@ _PAGE = re.compile(r"^[\W_]*(?:p[áa]g(?:ina)?\.?|page|p\.|стр\.?|стран
 _PAGE_ON_LINE = re.compile(r"(?:\s{2,}|\t|\[)\s*[-–—|]?\s*(?:p[áa]g(?:ina)?\.?|page|p\.|стр\.?)?\s*\d{1,4}(?:\s*/\s*\d{1,4})?\s*[\])]?\s*[-–—|]?\s*$|(?:p[áa]g(?:ina)?\.?|page|стр\.?)\s*\d{1,4}\s*\W*$|^\s*\[?\d{1,4}\]?(?:\s*/\s*\d{1,4})?\s*(?:\s{2,}|[|–—]\s)", re.IGNORECASE)
 _SEPARATED = re.compile(r"\s[|:/–—-]\s|^\s*[—–|]|[—–|]\s*$")
 _ENDS = re.compile(r"[.!?…:;][\"'»”)\]]*\s*$")
+_ENDINGS, _CLOSERS = frozenset(".!?…:;"), "\"'»”)]"
+_DIGIT = re.compile(r"\d")
 _NO_LETTER = re.compile(r"[\W\d_]+")
-#: A line inside the text that no punctuation ends.
-_OPEN_LINE = re.compile(r"[^\s.!?…:;\"'»”)\]][ \t\r\f]*\n|[^\s.!?…:;][\"'»”)\]]+[ \t\r\f]*\n")
+_COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 _DIGIT_AT_EDGE = re.compile(r"^\W*\d|\d\W*$|\d[\W_]*[a-z]{1,3}[\W_]*\d")
 
 
@@ -69,8 +74,8 @@ _DIGIT_AT_EDGE = re.compile(r"^\W*\d|\d\W*$|\d[\W_]*[a-z]{1,3}[\W_]*\d")
 
 BODY, HEADER, PAGE, BREAK = range(4)
 #: Features of a line, one bit each.
-BLANK, NUMBER, REPEATED, TITLE, INTERRUPTS, NUMBERED, SEPARATED, CAPITALS, OPEN, EDGE = (1 << k for k in range(10))
-N_CODES = 1 << 10
+BLANK, NUMBER, REPEATED, TITLE, INTERRUPTS, NUMBERED, SEPARATED, CAPITALS, OPEN, EDGE, SPLIT = (1 << k for k in range(11))
+N_CODES = 1 << 11
 
 # Fixed start of training: chance of each feature in each state (body, header, page, break).
 _START = {
@@ -84,6 +89,7 @@ _START = {
     CAPITALS: (0.01, 0.30, 0.02, 0.001),
     OPEN: (0.60, 0.97, 0.97, 0.50),
     EDGE: (0.10, 0.05, 0.05, 0.01),
+    SPLIT: (0.10, 1e-6, 1e-6, 1e-6),
 }
 _MOVE = np.log(np.array([[0.76, 0.06, 0.06, 0.12], [0.70, 0.01, 0.12, 0.17], [0.55, 0.25, 0.01, 0.19], [0.85, 0.06, 0.06, 0.03]]))
 
@@ -124,10 +130,8 @@ def near(a: str, b: set[str]) -> bool:
     return len(ws) >= 2 and len(b & set(ws)) * 5 >= len(set(ws)) * 3
 
 
-def opens_like(line: str, kind: str) -> bool:
-    """Whether a line's first word is the title's, one letter aside."""
-    m = _WORD.search(line)
-    w = m[0].lower() if m else ""
+def alike(w: str, kind: str) -> bool:
+    """Whether a word is another one, one letter aside."""
     return len(w) == len(kind) and sum(a != b for a, b in zip(w, kind)) <= 1
 
 
@@ -142,42 +146,85 @@ def in_list(stripped: list[str], filled: list[int], p: int) -> bool:
     return short and not below[:1].islower()
 
 
+def outer_letters(line: str) -> tuple[str, str]:
+    """First and last letter of a line: lines of one skeleton have the same."""
+    first = line[0] if line[0].isalpha() else next((c for c in line if c.isalpha()), "")
+    last = line[-1] if line[-1].isalpha() else next((c for c in reversed(line) if c.isalpha()), "")
+    return first.lower(), last.lower()
+
+
+def skeletons(text: list[str]) -> list[str | int]:
+    """Skeleton of each line, or its place if no other line can have the same."""
+    ends = [outer_letters(x) for x in text]
+    if len(set(ends)) == len(ends):
+        return list(range(len(text)))
+    often = Counter(ends)
+    return [skeleton(x) if often[e] > 1 else p for p, (x, e) in enumerate(zip(text, ends))]
+
+
+def running(shapes: list[str | int], page: list[bool]) -> set[int]:
+    """Places of lines that stand again in the text with other lines around them, page lines aside."""
+    places: dict[str, list[int]] = {}
+    for p, x in enumerate(shapes):
+        if isinstance(x, str) and len(x) > 3:
+            places.setdefault(x, []).append(p)
+    if all(len(at) < 2 for at in places.values()):
+        return set()
+    order = [p for p in range(len(shapes)) if not page[p]]
+    rank = {p: k for k, p in enumerate(order)}
+    side = lambda p, step: shapes[order[rank[p] + step]] if p in rank and 0 <= rank[p] + step < len(order) else None
+    out: set[int] = set()
+    for at in places.values():
+        if len(at) > 1 and len({side(p, -1) for p in at}) > 1 and len({side(p, 1) for p in at}) > 1:
+            out.update(at)
+    return out
+
+
 def features(lines: list[str], title: str | None, openers: frozenset[str] = frozenset()) -> list[int]:
-    """Feature code of every line; empty if no line is in question.  Lines that
-    punctuation ends are body: only their place is looked at."""
+    """Feature code of every line; empty if no line is in question."""
     stripped = [x.strip() for x in lines]
     filled = [k for k, x in enumerate(stripped) if x]
-    if len(filled) < 3:
+    n = len(filled)
+    if n < 2:
         return []
-    unended = [k for k in filled if not _ENDS.search(stripped[k])]
-    shapes = {k: skeleton(stripped[k]) for k in unended}
-    often = Counter(shapes.values())
+    text = [stripped[k] for k in filled]
+    ended = [x.rstrip(_CLOSERS)[-1:] in _ENDINGS for x in text]
+    digit = [_DIGIT.search(x) is not None for x in text]
+    edged = [d and _DIGIT_AT_EDGE.search(x) is not None for d, x in zip(digit, text)]
+    pageish = [e and len(x) <= 40 and _PAGE.match(x) is not None for e, x in zip(edged, text)]
+    shapes = skeletons(text)
+    again = running(shapes, pageish)
     titled = [w for w in _WORD.findall((title or "").lower()) if not w.isdigit()]
     words, kind = {w for w in titled if len(w) > 2}, titled[0] if titled else ""
-    edged = {k for k in unended if _DIGIT_AT_EDGE.search(stripped[k])}
-    pageish = {k for k in edged if _PAGE.match(stripped[k])}
+    split = [x[-1] in MARKS and p + 1 < n and x[-2:-1].isalpha() for p, x in enumerate(text)]
+    # the nearest line above that is no page line, and below it also has another shape
+    above, last = [-1] * n, -1
+    for p in range(n):
+        above[p] = last
+        if not pageish[p]:
+            last = p
+    below, nxt = [n] * n, n
+    for p in range(n - 1, -1, -1):
+        below[p] = nxt if nxt == n or shapes[nxt] != shapes[p] else below[nxt]
+        if not pageish[p]:
+            nxt = p
     out = [BLANK] * len(lines)
-    for k in filled:
-        out[k] = 0
-    out[filled[0]] |= EDGE
-    out[filled[-1]] |= EDGE
-    where = {k: p for p, k in enumerate(filled)}
     doubt = False
-    for k in unended:
-        x, shape, p = stripped[k], shapes[k], where[k]
-        c = out[k] | OPEN
-        c |= NUMBER * (k in pageish and not in_list(stripped, filled, p))
-        c |= REPEATED * (often[shape] > 1 and len(shape) > 3)
+    for p, (k, x) in enumerate(zip(filled, text)):
+        c = OPEN * (not ended[p]) | EDGE * (p == 0 or p == n - 1) | SPLIT * split[p]
+        c |= NUMBER * (pageish[p] and not in_list(stripped, filled, p))
+        c |= REPEATED * (p in again)
         first = _WORD.search(x)
-        opener = first is not None and first[0][0].isupper() and first[0].lower() in openers and len(shape) > len(first[0]) + 5
-        c |= TITLE * (opener or (bool(words) and opens_like(x, kind) and near(x, words)))
-        c |= NUMBERED * (k in edged and k not in pageish and _PAGE_ON_LINE.search(lines[k]) is not None)
-        c |= SEPARATED * (_SEPARATED.search(x) is not None)
-        c |= CAPITALS * (len(shape) > 5 and x.upper() == x)
-        before = next((stripped[j] for j in reversed(filled[max(0, p - 4) : p]) if j not in pageish), "")
-        if before and not _ENDS.search(before):
-            after = next((stripped[j] for j in filled[p + 1 : p + 6] if j not in pageish and shapes.get(j) != shape), "")
-            c |= INTERRUPTS * (bool(after) and (after[0].islower() or after[0].isdigit() or before[-1] in "-\u2010\u00ad\u00ac"))
+        opener = first is not None and first[0][0].isupper() and first[0].lower() in openers and len(skeleton(x)) > len(first[0]) + 5
+        c |= TITLE * (opener or (bool(words) and first is not None and alike(first[0].lower(), kind) and near(x, words)))
+        if not ended[p] or c & (NUMBER | REPEATED | TITLE) or edged[p]:
+            c |= NUMBERED * (edged[p] and not pageish[p] and _PAGE_ON_LINE.search(lines[k]) is not None)
+            c |= SEPARATED * (_SEPARATED.search(x) is not None)
+            c |= CAPITALS * (x.upper() == x and len(skeleton(x)) > 5)
+            a = above[p]
+            if a >= 0 and not ended[a] and below[p] < n:
+                after = text[below[p]]
+                c |= INTERRUPTS * (after[0].islower() or after[0].isdigit() or text[a][-1] in MARKS)
         out[k] = c
         doubt |= bool(c & (NUMBER | REPEATED | NUMBERED)) or bool(c & TITLE and not c & EDGE) or bool(c & INTERRUPTS and c & (SEPARATED | CAPITALS))
     return out if doubt else []
@@ -185,8 +232,38 @@ def features(lines: list[str], title: str | None, openers: frozenset[str] = froz
 
 # ---- passes over the texts ------------------------------------------------------
 
-_PASS = pa.schema([("src", pa.string()), ("id", pa.int64()), ("codes", pa.list_(pa.int16())), ("soft", pa.bool_()), ("splits", pa.list_(pa.string())), ("numbered", pa.list_(pa.int32()))])
-_PASS_DDL = "src string, id bigint, codes array<smallint>, soft boolean, splits array<string>, numbered array<int>"
+_PASS = pa.schema([("src", pa.string()), ("id", pa.int64()), ("codes", pa.list_(pa.int16())), ("soft", pa.bool_()), ("splits", pa.list_(pa.string())), ("numbered", pa.list_(pa.int32())), ("kind", pa.string()), ("key", pa.string()), ("n", pa.int64())])
+_PASS_DDL = "src string, id bigint, codes array<smallint>, soft boolean, splits array<string>, numbered array<int>, kind string, key string, n bigint"
+#: Runs without spaces counted in a task before the counts are sent on.
+HELD_RUNS = 300_000
+
+
+def _loose() -> re.Pattern:
+    """Marks and characters without a glyph: they part no word."""
+    loose = [c for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) in ("Mn", "Cf")]
+    ranges: list[list[int]] = []
+    for c in loose:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in ranges) + "]+")
+
+
+_LOOSE = _loose()
+
+
+def raw_words(text: str) -> list[str]:
+    """Lower-case runs without spaces, words split at line ends joined."""
+    return (_JOIN.sub("", text) if _MARK_AT_END.search(text) else text).lower().split()
+
+
+def words_in(run: str) -> list[str]:
+    """The words of a run without spaces."""
+    if run.isascii():
+        return _WORD.findall(run)
+    run = _LOOSE.sub("", run)
+    return _TOKEN.findall(run) if ("'" in run or "|" in run) else _WORD.findall(run)
 
 
 def title_openers(rows: DataFrame, share: float = 0.005) -> frozenset[str]:
@@ -197,54 +274,55 @@ def title_openers(rows: DataFrame, share: float = 0.005) -> frozenset[str]:
     return frozenset(r["w"] for r in counts.crossJoin(F.broadcast(total)).where(F.col("n") >= share * F.col("t")).where("n >= 3").select("w").collect())
 
 
-def word_counts(counter: Counter, kind: str) -> pa.RecordBatch:
-    n = len(counter)
-    none = [None] * n
-    return pa.RecordBatch.from_pydict({**{f: none for f in _PASS.names}, "kind": [kind] * n, "key": list(counter), "n": list(counter.values())}, schema=_PASS)
+def counted(runs: Counter) -> pa.RecordBatch:
+    """Partial counts of words and compounds as rows; the counter of runs is emptied."""
+    words: Counter = Counter()
+    compounds: Counter = Counter()
+    for run, n in runs.items():
+        for w in words_in(run):
+            words[w] += n
+        if "-" in run:
+            for w in _COMPOUND.findall(run):
+                compounds[w] += n
+    runs.clear()
+    kinds, keys, n = ["word"] * len(words) + ["compound"] * len(compounds), [*words, *compounds], [*words.values(), *compounds.values()]
+    cols = [pa.nulls(len(n), f.type) for f in _PASS][:6] + [pa.array(kinds, pa.string()), pa.array(keys, pa.string()), pa.array(n, pa.int64())]
+    return pa.RecordBatch.from_arrays(cols, schema=_PASS)
 
 
 def first_pass(rows: DataFrame, openers: frozenset[str] = frozenset()) -> DataFrame:
     """One scan of rows(src, id, text, title): for texts with anything in question
-    their feature codes and split words."""
+    their feature codes and split words; partial counts of all words (kind word)
+    and of compounds written inside a line (kind compound)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: Counter = Counter()
         for b in batches:
-            got: dict[str, list] = {f: [] for f in _PASS.names}
+            got: dict[str, list] = {f: [] for f in _PASS.names[:6]}
             for src, i, raw, title in zip(*(b.column(k).to_pylist() for k in range(4))):
+                runs.update(raw_words(raw))
                 soft, splits = False, []
+                if "\n" not in raw:
+                    continue
                 if _MARK_AT_END.search(raw):
                     for x, mark, y in _SPLIT.findall(raw):
                         if mark == "-":
                             splits.append(f"{x.lower()}-{y.lower()}")
                         elif y[0].islower():
                             soft = True
-                codes = features(raw.split("\n"), title, openers) if _OPEN_LINE.search(raw) else []
+                codes = features(raw.split("\n"), title, openers)
                 if codes or soft or splits:
-                    for f, v in zip(_PASS.names, (src, i, codes, soft, splits, [k for k, c in enumerate(codes) if c & NUMBERED])):
+                    for f, v in zip(got, (src, i, codes, soft, splits, [k for k, c in enumerate(codes) if c & NUMBERED])):
                         got[f].append(v)
-            yield pa.RecordBatch.from_pydict(got, schema=_PASS)
+            if len(runs) > HELD_RUNS:
+                yield counted(runs)
+            none = [None] * len(got["id"])
+            yield pa.RecordBatch.from_pydict({**got, "kind": none, "key": none, "n": none}, schema=_PASS)
+        yield counted(runs)
 
     return rows.select("src", "id", "text", "title").mapInArrow(run, _PASS_DDL)
 
 
-def lowered(rows: DataFrame) -> Column:
-    """Lower-case text with words split at line ends joined."""
-    mark = r"[-\u2010\u00ad\u00ac][ \t]*\n[ \t]*"
-    joined = F.when(F.col("text").rlike(mark), F.regexp_replace("text", rf"(?<=\p{{L}}){mark}(?=\p{{L}})", "")).otherwise(F.col("text"))
-    loose = r"[\p{Mn}\p{Cf}]+"  # marks and characters without a glyph part no word
-    return F.lower(F.when(joined.rlike(loose), F.regexp_replace(joined, loose, "")).otherwise(joined))
-
-
-def vocabulary(rows: DataFrame) -> DataFrame:
-    """(key, n): every word of all texts, counted in the JVM with partial sums."""
-    return rows.select(F.explode(F.split(lowered(rows), _BETWEEN)).alias("key")).where("key <> ''").groupBy("key").agg(F.count("*").alias("n"))
-
-
-def compounds(rows: DataFrame) -> DataFrame:
-    """(key, n): words written with a hyphen inside a line."""
-    return rows.where(r"text like '%-%'").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+-\p{L}+)"), 1)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-
-
 def corrections(word: str) -> set[str]:
     """Words a misread word may stand for: one confusion undone, at one place or at all."""
     out = set()
@@ -289,10 +367,41 @@ def misread_words(vocab: DataFrame) -> DataFrame:
     return ok.groupBy("word").agg(F.max_by("right", F.struct("right_n", "right")).alias("right"))
 
 
-def texts_with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(src, id) of rows whose text holds a word of the written table ``wanted(word)``:
-    words meet the table before anything is exchanged."""
-    return rows.select("src", "id", F.explode(F.split(lowered(rows), _BETWEEN)).alias("word")).join(small(wanted), "word", "left_semi").select("src", "id").distinct()
+class Holds(dict):
+    """Whether a run without spaces holds a word of a set; remembered up to HELD_RUNS runs."""
+
+    def __init__(self, wanted: frozenset[str]):
+        super().__init__()
+        self.wanted = wanted
+
+    def __missing__(self, run: str) -> bool:
+        if len(self) >= HELD_RUNS:
+            self.clear()
+        got = self[run] = not self.wanted.isdisjoint(words_in(run))
+        return got
+
+
+def texts_with(rows: DataFrame, misread: DataFrame) -> DataFrame:
+    """(src, id) of rows whose text holds a word of the written table
+    ``misread(word, right)``: sent to the workers up to SENT words, joined beyond."""
+    schema = "src string, id bigint"
+    if misread.count() <= SENT:
+        sent = rows.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in misread.select("word").collect()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            holds = Holds(sent.value)
+            for b in batches:
+                yield b.select([0, 1]).filter(pa.array([any(map(holds.__getitem__, raw_words(t))) for t in b.column(2).to_pylist()], pa.bool_()))
+
+        return rows.select("src", "id", "text").mapInArrow(run, schema).distinct()
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [list({w for r in set(raw_words(t)) for w in words_in(r)}) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], names=["src", "id", "words"])
+
+    each = rows.select("src", "id", "text").mapInArrow(words, schema + ", words array<string>").select("src", "id", F.explode("words").alias("word"))
+    return each.join(small(misread.select("word")), "word", "left_semi").select("src", "id").distinct()
 
 
 def trained(codes: DataFrame, rounds: int = 2, weight: float = 200.0) -> np.ndarray:
@@ -344,8 +453,11 @@ class Noise:
     def __init__(self, rows: DataFrame):
         self.rows = rows
         self.openers = title_openers(rows)
-        self.facts = materialise(first_pass(rows, self.openers), "scan")
-        self.vocab = materialise(vocabulary(rows), "vocab")
+        scan = materialise(first_pass(rows, self.openers), "scan")
+        self.facts = scan.where("kind is null")
+        count = lambda kind: scan.where(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n"))
+        self.compounds = count("compound")
+        self.vocab = materialise(count("word"), "vocab")
         self.misread = materialise(misread_words(self.vocab), "misread")
         self.coded = self.facts.where("size(codes) > 0").select("src", "id", "codes", "numbered").distinct()
         self.emit = trained(self.coded)
@@ -357,7 +469,7 @@ class Noise:
         soft = t.where("soft").select("src", "id")
         one = t.select("src", "id", F.explode(F.array_distinct("splits")).alias("key")).distinct()
         keys = materialise(one.select("key").distinct(), "splits")
-        comp = compounds(self.rows).join(small(keys), "key", "left_semi").select("key", F.col("n").alias("with_n"))
+        comp = self.compounds.join(small(keys), "key", "left_semi").select("key", F.col("n").alias("with_n"))
         joined = keys.withColumn("word", F.replace("key", F.lit("-"), F.lit("")))
         joined = joined.join(self.vocab.select(F.col("key").alias("word"), F.col("n").alias("join_n")), "word", "left").join(comp, "key", "left")
         real = joined.where(F.coalesce("with_n", F.lit(0)) < F.coalesce("join_n", F.lit(0))).select("key")
@@ -366,23 +478,30 @@ class Noise:
     def found(self) -> DataFrame:
         mark = lambda df, kind: df.select("src", F.col("id").alias("rec_id"), F.lit(kind).alias("noise"))
         lab = materialise(labelled(self.coded, self.emit), "labelled")
-        out = mark(self.split_words(), "hyphen").unionByName(mark(texts_with(self.rows, materialise(self.misread.select("word"), "misread_only")), "chars"))
+        out = mark(self.split_words(), "hyphen").unionByName(mark(texts_with(self.rows, self.misread), "chars"))
         return out.unionByName(mark(lab.where("header"), "header")).unionByName(mark(lab.where("pagenum"), "pagenum")).distinct()
 
 
 def paragraphs(text: str, title: str | None, emit: np.ndarray, openers: frozenset[str] = frozenset()) -> str:
     """Continuous paragraphs of one text, words as they stand."""
     lines = text.split("\n")
-    codes = features(lines, title, openers) if len(lines) > 2 else []
+    codes = features(lines, title, openers) if len(lines) > 1 else []
     if codes:
         lab = viterbi(codes, emit)
         drop = {k for k, s in enumerate(lab) if s in (HEADER, PAGE)}
         kept: list[str] = []
+        gap = False  # whether a line was dropped since the last one kept
         for k, x in enumerate(lines):
+            open_end = bool(kept) and not _ENDS.search(kept[-1])
             # a break only between a dropped line and the middle of a sentence is no paragraph's end
-            if k in drop or (not x.strip() and (k - 1 in drop or k + 1 in drop) and kept and not _ENDS.search(kept[-1])):
+            if k in drop or (not x.strip() and (k - 1 in drop or k + 1 in drop) and open_end):
+                gap = gap or k in drop
                 continue
-            kept.append(x)
+            if gap and open_end and kept[-1].strip() and x.strip() and not _MARK_AT_END.search(kept[-1] + "\n"):
+                kept[-1] = f"{kept[-1].rstrip()} {x.lstrip()}"  # the sentence a dropped line stood in
+            else:
+                kept.append(x)
+            gap = False
         text = "\n".join(kept)
     text = _JOIN.sub("", text)
     return re.sub(r"(?<![\n.!?…:;])[ \t]*\n(?=[^\W\d_A-ZÁÉÍÓÚÑ])", " ", text)

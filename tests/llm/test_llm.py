@@ -136,6 +136,27 @@ def test_p2_reassembles():
     assert "Informe" not in out and "- 13 -" not in out and "municipio de Tucintalal" in out and "reglamento quedó abierto." in out
 
 
+def test_p2_sees_punctuated_and_short_pages():
+    emit = scanned.start_emissions()
+    body = ["El archivo reorganizó la cadena de", "custodia y el municipio de", "publicó el reglamento del", "archivo regional y la", "oficina quedó abierta."]
+    lines = [body[0], "Informe trimestral de la cadena.", "12.", body[1], body[2], "Informe trimestral de la cadena.", "13.", *body[3:]]
+    lab = list(scanned.viterbi(scanned.features(lines, "Informe trimestral de la cadena"), emit))
+    assert [k for k, x in enumerate(lab) if x == scanned.HEADER] == [1, 5] and [k for k, x in enumerate(lab) if x == scanned.PAGE] == [2, 6]
+    two = scanned.features(["El archivo quedó abierto.", "- 7 -"], None)
+    assert list(scanned.viterbi(two, emit)) == [scanned.BODY, scanned.PAGE]
+
+
+@pytest.mark.parametrize("pages", [1, 2, 3])
+def test_p2_loses_no_body_word(pages):
+    """All words but those of header and page lines stay, in order, even if whole passages stand again."""
+    heads = {"Informe 12 | la cadena de custodia | 2021   {n}", "- {m} -"}
+    body = "\n".join(x for x in PAGE.split("\n") if x not in heads)
+    want = re.findall(r"[^\W_]+", re.sub(r"-\n", "", body * pages))
+    text = "".join(PAGE.format(n=12 + k, m=40 + k) for k in range(pages))
+    out = scanned.reassemble(text, "Informe 12 | la cadena de custodia", scanned.start_emissions(), {})
+    assert re.findall(r"[^\W_]+", out) == want
+
+
 def test_p2_corrections():
     assert "regional" in scanned.corrections("re9ional") and "municipio" in scanned.corrections("rnunicipio") and not scanned.corrections("y")
 
