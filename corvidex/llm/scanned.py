@@ -188,10 +188,10 @@ def features(lines: list[str], title: str | None, openers: frozenset[str] = froz
     if n < 2:
         return []
     text = [stripped[k] for k in filled]
-    ended = [x.rstrip(_CLOSERS)[-1:] in _ENDINGS for x in text]
     digit = [_DIGIT.search(x) is not None for x in text]
     edged = [d and _DIGIT_AT_EDGE.search(x) is not None for d, x in zip(digit, text)]
     pageish = [e and len(x) <= 40 and _PAGE.match(x) is not None for e, x in zip(edged, text)]
+    ended = [x.rstrip(_CLOSERS)[-1:] in _ENDINGS and not page for x, page in zip(text, pageish)]  # a number's point ends no sentence
     shapes = skeletons(text)
     again = running(shapes, pageish)
     titled = [w for w in _WORD.findall((title or "").lower()) if not w.isdigit()]
