@@ -39,6 +39,15 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size_on_disk(df) <= limit else df
 
 
+def once(df: DataFrame, key: str) -> DataFrame:
+    """Distinct rows of df, where rows of different keys differ anyway: only keys are
+    counted, and only the rows of repeated keys are exchanged.  Null keys stay."""
+    twice = materialise(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows_")).where("n_rows_ > 1").select(key), "twice")
+    if twice.isEmpty():
+        return df
+    return df.join(small(twice), key, "left_anti").unionByName(df.join(small(twice), key, "left_semi").distinct())
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bit mixer over uint64 (finaliser of the public splitmix64 generator)."""
     with np.errstate(over="ignore"):

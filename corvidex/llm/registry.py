@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .cut import p10_found, p10_rates
 from .encode import encode_texts
 from .language import p3_found, p3_segments
@@ -13,18 +11,15 @@ from .leak import p9_found, p9_report
 from .lookalike import p4_canonical, p4_found
 from .rankfuse import p6_found, p6_ranking
 from .scanned import p2_found, p2_repaired
-from .repeated import p7_blocks, p7_cleaned, p7_found
-from .common import materialise, small, table
+from .repeated import _FROM, _TO, p7_blocks, p7_cleaned, p7_found
+from .common import once, table
 
 
 def p8_ids(spark, base):
     """Ids of every document.  Rows stored twice count once: only ids are counted,
     and only texts of repeated ids are exchanged."""
     docs = table(spark, base, "documents").select("doc_id", "text").where("doc_id is not null")
-    twice = materialise(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "twice")
-    if not twice.isEmpty():
-        docs = docs.join(small(twice), "doc_id", "left_anti").unionByName(docs.join(small(twice), "doc_id", "left_semi").distinct())
-    return encode_texts(docs)
+    return encode_texts(once(docs, "doc_id"))
 
 
 QUERIES = {
@@ -59,4 +54,17 @@ g AS (SELECT DISTINCT id, side, array_to_string(ws[k:k+11], ' ') AS gram FROM (S
 SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM g d JOIN g i ON d.gram = i.gram AND d.side = 'd' AND i.side = 'i'
 """
 
-ORACLE = {"p9_found": _P9}
+_P7 = rf"""
+WITH l AS (
+  SELECT DISTINCT chunk_id, fuente, k AS line_no, regexp_replace(translate(lower(ls[k]), '{_FROM}', '{_TO}'), '[^\p{{L}}]+', '', 'g') AS shape
+  FROM (SELECT chunk_id, fuente, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT try_cast(chunk_id AS BIGINT) AS chunk_id, fuente, string_split(texto, chr(10)) AS ls FROM chunks WHERE texto IS NOT NULL))
+  WHERE chunk_id IS NOT NULL),
+s AS (SELECT fuente, count(DISTINCT try_cast(chunk_id AS BIGINT)) AS n FROM chunks GROUP BY fuente),
+o AS (SELECT fuente, shape, count(DISTINCT chunk_id) AS docs FROM l WHERE shape <> '' GROUP BY fuente, shape)
+SELECT DISTINCT l.chunk_id, CAST(l.line_no AS INTEGER) AS line_no FROM l
+JOIN o ON l.shape = o.shape AND l.fuente IS NOT DISTINCT FROM o.fuente
+JOIN s ON s.fuente IS NOT DISTINCT FROM o.fuente
+WHERE o.docs >= 8 AND o.docs * 10 >= s.n
+"""
+
+ORACLE = {"p7_found": _P7, "p9_found": _P9}

@@ -327,10 +327,23 @@ def test_p7_against_brute_force(spark):
                 docs.setdefault((s, key(line)), set()).add(i)
     n = len({i for s, i, _ in rows if s == "s"})
     want = {(i, k) for s, i, t in rows for k, line in enumerate((t or "").split("\n"), 1) if len(docs.get((s, key(line)), ())) >= max(8, 0.1 * n)}
-    every, often = repeated.repeated_lines(df)
-    found = repeated.found_lines(every, often)
-    assert {(r.chunk_id, r.line_no) for r in found.collect()} == want
-    assert {r.n for r in repeated.blocks(found).select(F.size("block").alias("n")).collect()} >= {1}
+    got = repeated.Blocks(df)
+    assert {(r.chunk_id, r.line_no) for r in got.lines().collect()} == want
+
+
+def test_p7_blocks_count_chunks(spark, monkeypatch):
+    """Blocks longer than any fixed length come out whole, by distinct chunks, and decide the lines."""
+    notice = [f"línea {'x' * k} del aviso" for k in range(40)]
+    rows = [("s", i, "\n".join([f"propio {'a' * i}", *notice, f"fin {'b' * i}"])) for i in range(12)]
+    rows += [("s", 50, "\n".join(["eco eco"] * 9 + ["otra"])), ("s", 51, "\n".join(notice[5:7]))]
+    df = spark.createDataFrame(rows + rows[:3], "source string, chunk_id bigint, text string")
+    got = repeated.Blocks(df)
+    assert {(r.len, r.docs) for r in got.blocks.collect()} == {(40 - k, 12) for k in range(40)} | {(2, 13), (1, 13)}
+    found = {(r.chunk_id, r.line_no) for r in got.lines().collect()}
+    assert found == {(i, k) for i in range(12) for k in range(2, 42)} | {(51, 1), (51, 2)}  # nine places in one chunk are no block
+    whole = repeated.common_prefixes
+    monkeypatch.setattr(repeated, "common_prefixes", lambda x: whole(x).where("len > 2"))
+    assert {(r.chunk_id, r.line_no) for r in repeated.Blocks(df).lines().collect()} == {x for x in found if x[0] != 51}  # the array decides
 
 
 # ---- 8 ----------------------------------------------------------------------
