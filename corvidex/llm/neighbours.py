@@ -3,23 +3,29 @@
 Method: collision-counting hashing.  A vector's hash values are single random
 projections.  Within a cell the projections of the stored vectors are sorted
 arrays; around each query a window is opened on every array and widened by
-virtual rehashing (doubling its width); vectors that fall into the window of at
-least COLLISIONS of the PROJECTIONS arrays are verified by exact cosine.  A
-query stops widening when it has k verified neighbours.
+virtual rehashing; vectors that fall into the window of at least COLLISIONS of
+the PROJECTIONS arrays are verified by exact cosine.  A stored row stops
+widening when the window is REACH times as wide as the distance of its k-th
+verified neighbour: two vectors at that distance then collide often enough with
+a probability of about 0.97.  A visiting query opens the window that nearly all
+rows of the cell needed.
 
 One window over all vectors would cost the square of their number, so the
-arrays are kept by cell: a vector is stored in the cell of the direction it
-projects on most, out of a number of random directions that grows with the
-data, and queries the PROBES cells whose directions it projects on most.  A
-pair that meets in any cell counts for both.  Cells above CELL_ROWS x 4 rows
-are split again by their own directions, with probing inside, so a dense region
-is many tasks.  Vectors equal in all elements form one class first, so a vector
-repeated in a third of all rows is stored once.
-
-Every row is indexed; nothing is fitted on a sample.  Recall against brute force
-is measured in tests and in the README.  Defined cases: null and zero vectors
-take no part; ties go to the smaller id; repeated rows count once; with fewer
-than k other vectors all that are found are returned.
+arrays are kept by cell.  Cells are the surroundings of centres: at most
+MAX_CENTRES by k-means over a sample of SAMPLE vectors a centre; a cell of more
+than 4 x CELL_ROWS rows is divided among vectors of its own, drawn by chance, so
+a dense region has as many more cells as it has more rows (MAX_PIVOTS at most in
+all; beyond it cells grow).  A vector is stored in the nearest cell and queries
+the next ones; probes grow with the logarithm of the number of cells.  A pair
+that meets in any cell counts for both.  Vectors equal in all elements form one
+class first, so a vector repeated in a third of all rows is stored once.
+
+Every row is indexed; only the centres come from samples.  Recall against brute
+force is measured in tests and in the README.  Defined cases: null, empty and
+zero vectors and such with a value that is no number take no part, nor do
+vectors of another length than most (ties: the longer); ties go to the smaller
+id; repeated rows count once; with fewer than k other vectors all that are found
+are returned.
 """
 
 from __future__ import annotations
@@ -32,14 +38,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import materialise, small, table
+from .common import materialise, mix64, small, table
 
 K = 5
 PROJECTIONS, COLLISIONS = 24, 10
-#: Half width of the first window, in units of a unit vector's distance, and doublings.
-WIDTH, ROUNDS = 0.25, 4
-PROBES, SUB_PROBES = 5, 3
-CELL_ROWS, MAX_CELLS = 400, 1024
+#: Half width of the first window, in units of a unit vector's distance, the factor it grows by, and how often.
+WIDTH, GROWTH, ROUNDS = 0.25, 1.4, 6
+#: Half width over distance at which two vectors meet in COLLISIONS arrays with a chance of about 0.97.
+REACH = 0.8
+CELL_ROWS, MAX_CENTRES, MAX_PIVOTS = 400, 1024, 1 << 16
+#: Sampled vectors a centre, and rounds of k-means over them.
+SAMPLE, REFINE = 32, 4
+#: Cells in a task.
+TASK_CELLS = 32
 
 
 def directions(n: int, dim: int, seed: int) -> np.ndarray:
@@ -64,80 +75,123 @@ def matrix(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return m, ok
 
 
-def mean_vector(v: DataFrame, dim: int) -> np.ndarray:
-    """Mean of the unit vectors: one small row a task."""
+def nearest_centres(m: np.ndarray, c: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the nearest centres of each row, nearest first; their squared distances less the row's own square)."""
+    p = min(probes, len(c))
+    at, far = np.empty((len(m), p), np.int64), np.empty((len(m), p), np.float32)
+    half = (c * c).sum(axis=1)
+    for s in range(0, len(m), 4096):
+        d = half - 2 * (m[s : s + 4096] @ c.T)
+        part = np.argpartition(d, p - 1, axis=1)[:, :p]
+        v = np.take_along_axis(d, part, 1)
+        o = np.argsort(v, axis=1, kind="stable")
+        at[s : s + 4096], far[s : s + 4096] = np.take_along_axis(part, o, 1), np.take_along_axis(v, o, 1)
+    return at, far
+
+
+def drawn(v: DataFrame, dim: int, take) -> np.ndarray:
+    """Vectors drawn by chance: ``take(unit vectors, uniform numbers)`` says which.  The
+    numbers follow from the ids, so a lost task draws the same again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, n = np.zeros(dim), 0
-        for b in batches:
-            m, ok = matrix(b.column(0), dim)
-            s += m[ok].sum(axis=0, dtype=np.float64)
-            n += int(ok.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim), pa.int64()), pa.array(s), pa.array(np.full(dim, n), pa.int64())], names=["i", "s", "n"])
-
-    rows = v.select("embedding").mapInArrow(run, "i bigint, s double, n bigint").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
-    out = np.zeros(dim, np.float32)
-    for r in rows:
-        out[r["i"]] = r["s"] / max(r["n"], 1)
-    return out
-
-
-def top_cells(m: np.ndarray, d: np.ndarray, probes: int) -> np.ndarray:
-    """The directions each row projects on most, best first."""
-    s = m @ d.T
-    p = min(probes, d.shape[0])
-    part = np.argpartition(-s, p - 1, axis=1)[:, :p]
-    return np.take_along_axis(part, np.argsort(-np.take_along_axis(s, part, 1), axis=1, kind="stable"), 1)
-
-
-def assign(v: DataFrame, dim: int, mean: np.ndarray, cells: int) -> DataFrame:
-    """(cell, sub, home, id, vec): each vector in its home cell and as a query in
-    the cells it probes; oversized cells give sub-cells.  vec is half precision,
-    which halves what is exchanged."""
-    spark = v.sparkSession
-    sent = spark.sparkContext.broadcast((mean, directions(cells, dim, 11)))
-
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mu, d = sent.value
-        n = np.zeros(len(d), np.int64)
         for b in batches:
-            m, ok = matrix(b.column(0), dim)
-            if ok.any():
-                n += np.bincount(top_cells(m[ok] - mu, d, 1)[:, 0], minlength=len(d))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(d)), pa.int32()), pa.array(n)], names=["cell", "n"])
-
-    # at most MAX_CELLS rows, whatever the input
-    counts = {r["cell"]: r["n"] for r in v.select("embedding").mapInArrow(homes, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
-    split = np.array([min(MAX_CELLS, -(-counts.get(c, 0) // CELL_ROWS)) if counts.get(c, 0) > 4 * CELL_ROWS else 1 for c in range(cells)])
-    splits = spark.sparkContext.broadcast(split)
+            m, ok = matrix(b.column(1), dim)
+            u = (mix64(b.column(0).to_numpy().astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(np.float64) / 2**53
+            rows = np.flatnonzero(ok)
+            rows = rows[take(m[rows], u[rows])] if len(rows) else rows
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), pa.array([x.tobytes() for x in m[rows]], pa.binary())], names=["id", "vec"])
+
+    got = sorted(v.select("id", "embedding").mapInArrow(run, "id bigint, vec binary").collect(), key=lambda r: r["id"])
+    return np.frombuffer(b"".join(bytes(r["vec"]) for r in got), np.float32).reshape(-1, dim)
+
+
+def k_means(x: np.ndarray, k: int) -> np.ndarray:
+    """k centres of the sample x, or x itself if it is no larger."""
+    if len(x) <= k:
+        return x.copy()
+    c = x[:: len(x) // k][:k].copy()
+    for _ in range(REFINE):
+        a = nearest_centres(x, c, 1)[0][:, 0]
+        order = np.argsort(a, kind="stable")
+        starts = np.flatnonzero(np.diff(a[order], prepend=-1))
+        sums = np.add.reduceat(x[order], starts, axis=0)
+        c[a[order][starts]] = sums / np.diff(starts, append=len(x))[:, None]
+    return c
+
+
+class Cells:
+    """Centres of all cells: cell j < len(top) is that of centre j, unless it is
+    divided; the pivots of divided cells follow."""
+
+    def __init__(self, v: DataFrame, dim: int, n: int):
+        k = int(np.clip(-(-n // CELL_ROWS), 1, MAX_CENTRES))
+        share = min(1.0, 1.2 * k * SAMPLE / max(n, 1))
+        self.top = k_means(drawn(v, dim, lambda m, u: u < share), k)
+        sent = v.sparkSession.sparkContext.broadcast(self.top)
+
+        def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            c = sent.value
+            total = np.zeros(len(c), np.int64)
+            for b in batches:
+                m, ok = matrix(b.column(0), dim)
+                if ok.any():
+                    total += np.bincount(nearest_centres(m[ok], c, 1)[0][:, 0], minlength=len(c))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(c)), pa.int32()), pa.array(total)], names=["cell", "n"])
+
+        rows = np.zeros(max(len(self.top), 1), np.int64)
+        if len(self.top):  # at most MAX_CENTRES rows, whatever the input
+            for r in v.select("embedding").mapInArrow(homes, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+                rows[r["cell"]] = r["n"]
+        wide = rows > 4 * CELL_ROWS
+        want = np.where(wide, -(-rows // CELL_ROWS), 0)
+        chance = np.where(wide, want / np.maximum(rows, 1), 0.0) * min(1.0, MAX_PIVOTS / max(want.sum(), 1))
+        pivots = np.zeros((0, dim), np.float32)
+        if wide.any():
+            pivots = drawn(v, dim, lambda m, u: u < chance[nearest_centres(m, sent.value, 1)[0][:, 0]])
+        of = nearest_centres(pivots, self.top, 1)[0][:, 0] if len(pivots) else np.zeros(0, np.int64)
+        order = np.argsort(of, kind="stable")
+        self.pivots, of = pivots[order], of[order]
+        self.inside = {int(c): slice(*np.searchsorted(of, [c, c + 1])) for c in np.unique(of)}
+        self.count = len(self.top) + len(self.pivots)
+        self.probes = 2 + int(np.ceil(np.log(max(self.count, 2)) / np.log(32)))
+
+    def probed(self, m: np.ndarray) -> np.ndarray:
+        """The cells each row looks in, its own first; -1 where there are fewer."""
+        at, far = nearest_centres(m, self.top, self.probes + 2 * bool(self.inside))
+        if not self.inside:
+            return at[:, : self.probes]
+        cell, dist = [at.copy()], [np.where(np.isin(at, list(self.inside)), np.inf, far)]
+        for r in range(at.shape[1]):
+            one, d = np.full((len(m), self.probes), -1), np.full((len(m), self.probes), np.inf)
+            for c in np.intersect1d(at[:, r], list(self.inside)):
+                rows, s = np.flatnonzero(at[:, r] == c), self.inside[int(c)]
+                x, y = nearest_centres(m[rows], self.pivots[s], self.probes)
+                one[rows, : x.shape[1]], d[rows, : x.shape[1]] = x + s.start + len(self.top), y
+            cell.append(one), dist.append(d)
+        cells, far = np.hstack(cell), np.hstack(dist)
+        o = np.argsort(far, axis=1, kind="stable")[:, : self.probes]
+        return np.where(np.isinf(np.take_along_axis(far, o, 1)), -1, np.take_along_axis(cells, o, 1))
+
+
+def assign(v: DataFrame, dim: int, cells: Cells) -> DataFrame:
+    """(cell, home, id, vec): each vector in its own cell and as a query in those it
+    probes.  vec is half precision, which halves what is exchanged."""
+    sent = v.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mu, d = sent.value
-        parts = splits.value
         for b in batches:
             m, ok = matrix(b.column(1), dim)
             ids = b.column(0).to_numpy()[ok]
             m = m[ok]
             if not len(m):
                 continue
-            x = m - mu
-            cell, sub, home, who = [], [], [], []
-            best = top_cells(x, d, PROBES)
-            for p in range(best.shape[1]):
-                c = best[:, p]
-                one = parts[c] == 1
-                cell.append(c[one]), sub.append(np.zeros(one.sum(), int)), home.append(np.full(one.sum(), p == 0)), who.append(np.flatnonzero(one))
-                for big in np.unique(c[~one]):
-                    rows = np.flatnonzero(c == big)
-                    inner = top_cells(x[rows], directions(int(parts[big]), dim, 1000 + int(big)), SUB_PROBES)
-                    for q in range(inner.shape[1]):
-                        cell.append(np.full(len(rows), big)), sub.append(inner[:, q]), home.append(np.full(len(rows), p == 0 and q == 0)), who.append(rows)
-            who_, width = np.concatenate(who), dim * 2
-            half = np.ascontiguousarray(m[who_].astype(np.float16))
-            vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(who_), [None, pa.py_buffer(half)]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell).astype(np.int32)), pa.array(np.concatenate(sub).astype(np.int32)), pa.array(np.concatenate(home)), pa.array(ids[who_]), vec], names=["cell", "sub", "home", "id", "vec"])
-
-    return v.select("id", "embedding").mapInArrow(run, "cell int, sub int, home boolean, id bigint, vec binary")
+            at = sent.value.probed(m)
+            who, place = np.nonzero(at >= 0)
+            half = np.ascontiguousarray(m.astype(np.float16)[who])
+            vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(dim * 2), len(who), [None, pa.py_buffer(half)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(at[who, place].astype(np.int32)), pa.array(place == 0), pa.array(ids[who]), vec], names=["cell", "home", "id", "vec"])
+
+    return v.select("id", "embedding").mapInArrow(run, "cell int, home boolean, id bigint, vec binary")
 
 
 def collisions(hq: np.ndarray, hx: np.ndarray, half: float) -> np.ndarray:
@@ -159,33 +213,44 @@ def collisions(hq: np.ndarray, hx: np.ndarray, half: float) -> np.ndarray:
 
 def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, neighbour, cosine) found in one cell.  Stored rows widen their
-    windows until they have k; visiting queries look in the first window only,
-    as their own cell widens for them.  Pairs count for both sides."""
-    a = directions(PROJECTIONS, m.shape[1], seed) * np.sqrt(m.shape[1])
-    h = m @ a.T
+    windows until the k-th neighbour lies well inside; visiting queries open the
+    window that 19 of 20 stored rows needed.  Pairs count for both sides."""
+    h = m @ (directions(PROJECTIONS, m.shape[1], seed) * np.sqrt(m.shape[1])).T
     hx, sx, ix = h[home], m[home], ids[home]
-    out_q, out_x, out_s = [], [], []
-    order = np.concatenate([np.flatnonzero(home), np.flatnonzero(~home)])
-    n_home = int(home.sum())
-    if not n_home:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    active = order
-    for step in range(ROUNDS + 1):
-        half = WIDTH * 2**step if step < ROUNDS else np.inf
-        again = []
-        for s in range(0, len(active), 2048):
-            rows = active[s : s + 2048]
-            q, x = np.nonzero(collisions(h[rows], hx, half) >= COLLISIONS)
-            ok = ids[rows][q] != ix[x]
+    out_q, out_x, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    enough = min(k, len(ix) - 1)
+
+    def look(rows: np.ndarray, half: float) -> np.ndarray:
+        """Keeps the best of each row; gives the distance of each row's k-th, infinite if there are fewer."""
+        reached = np.full(len(rows), np.inf)
+        for s in range(0, len(rows), 1024):
+            part = rows[s : s + 1024]
+            q, x = np.nonzero(collisions(h[part], hx, half) >= COLLISIONS)
+            ok = ids[part][q] != ix[x]
             q, x = q[ok], x[ok]
-            for t in range(0, len(q), 200_000):
-                qq, xx = q[t : t + 200_000], x[t : t + 200_000]
-                out_q.append(ids[rows][qq]), out_x.append(ix[xx]), out_s.append(np.einsum("ij,ij->i", m[rows][qq], sx[xx]))
-            again.append(rows[np.bincount(q, minlength=len(rows)) < min(k, n_home - 1)])
-        active = np.concatenate(again) if again else active[:0]
-        active = active[home[active]]  # visitors do not widen
-        if not len(active):
-            break
+            cos = np.concatenate([np.einsum("ij,ij->i", m[part][q[t : t + 200_000]], sx[x[t : t + 200_000]]) for t in range(0, len(q), 200_000)] or [np.zeros(0, np.float32)])
+            keep = best(q, x, cos, k)
+            q, x, cos = q[keep], x[keep], cos[keep]
+            out_q.append(ids[part][q]), out_x.append(ix[x]), out_s.append(cos)
+            n = np.bincount(q, minlength=len(part))
+            full = np.flatnonzero((n >= enough) & (n > 0))
+            worst = np.full(len(part), np.inf)
+            np.minimum.at(worst, q, cos)
+            reached[s + full] = np.sqrt(np.maximum(2 - 2 * worst[full], 0))
+        return reached
+
+    if enough > 0 or (len(ix) and (~home).any()):
+        active, needed = np.flatnonzero(home), []
+        for step in range(ROUNDS + 1):
+            half = WIDTH * GROWTH**step if step < ROUNDS else np.inf
+            far = look(active, half) * REACH
+            done = far <= half
+            needed.append(np.maximum(far[done], WIDTH * REACH))
+            active = active[~done]
+            if not len(active) or np.isinf(half):
+                break
+        widths = np.concatenate(needed)
+        look(np.flatnonzero(~home), float(np.quantile(widths, 0.95)) if len(widths) > k and np.isfinite(widths).all() else np.inf)
     q, x, s = np.concatenate(out_q), np.concatenate(out_x), np.concatenate(out_s)
     q, x, s = np.concatenate([q, x]), np.concatenate([x, q]), np.concatenate([s, s])
     keep = best(q, x, s, k)
@@ -204,19 +269,20 @@ def best(q: np.ndarray, x: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
 
 def nearest(vectors: DataFrame, k: int = K) -> DataFrame:
     """(id, neighbour, score, rank) of vectors(id, embedding) with distinct vectors."""
-    first = vectors.where("embedding is not null and size(embedding) > 0").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    n, dim = first["n"], first["dim"] or 1
-    cells = int(np.clip(-(-n // CELL_ROWS), 1, MAX_CELLS))
-    mean = mean_vector(vectors, dim)
+    sizes = vectors.where("embedding is not null and size(embedding) > 0").groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
+    first = sizes.orderBy(F.desc("n"), F.desc("dim")).first()
+    n, dim = (first["n"], first["dim"]) if first else (0, 1)
+    cells = Cells(vectors, dim, n)
 
-    def run(batches: Iterator[pa.Table]) -> pa.Table:
+    def run(batches: pa.Table) -> pa.Table:
         t = batches.combine_chunks()
         m = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
-        seed = 50_000 + t.column("cell")[0].as_py() * 1031 + t.column("sub")[0].as_py()
-        q, x, s = search_cell(t.column("id").to_numpy(), np.array(t.column("home").to_pylist(), bool), m, seed, k)
+        q, x, s = search_cell(t.column("id").to_numpy(), np.array(t.column("home").to_pylist(), bool), m, 50_000 + t.column("cell")[0].as_py(), k)
         return pa.table({"id": pa.array(q, pa.int64()), "neighbour": pa.array(x, pa.int64()), "score": pa.array(s.astype(np.float32), pa.float32())})
 
-    found = assign(vectors, dim, mean, cells).groupBy("cell", "sub").applyInArrow(run, "id bigint, neighbour bigint, score float")
+    # tasks grow in number with the cells, not in size
+    parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-cells.count // TASK_CELLS))
+    found = assign(vectors, dim, cells).repartition(parts, "cell").groupBy("cell").applyInArrow(run, "id bigint, neighbour bigint, score float").repartition(parts, "id")
     w = W.partitionBy("id").orderBy(F.desc(F.round("score", 4)), "neighbour")
     return found.groupBy("id", "neighbour").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -102,6 +102,48 @@ def test_p1_recall(spark):
     assert len(got & true) / len(true) >= 0.9
 
 
+def recall(spark, v: np.ndarray) -> float:
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, embedding array<float>")
+    got = {(r.id, r.neighbour) for r in neighbours.neighbours(df).collect()}
+    s = v @ v.T
+    np.fill_diagonal(s, -2)
+    true = {(i, int(j)) for i, row in enumerate(np.argsort(-s, axis=1)[:, :5]) for j in row}
+    return len(got & true) / len(true)
+
+
+def test_p1_recall_in_a_dense_cell(spark, monkeypatch):
+    """A third of the vectors lie in one narrow region, which is divided again."""
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 100)
+    monkeypatch.setattr(neighbours, "MAX_CENTRES", 16)
+    v = clustered(4800)
+    rng = np.random.default_rng(3)
+    centre = v[0] + 0.02 * rng.standard_normal((200, v.shape[1]))
+    v[:1600] = np.repeat(centre, 8, axis=0) + 0.004 * rng.standard_normal((1600, v.shape[1]))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert recall(spark, v.astype(np.float32)) >= 0.9
+
+
+def test_p1_far_neighbours(spark):
+    """Vectors without close neighbours: windows widen as far as they must."""
+    v = np.random.default_rng(5).standard_normal((1500, 12)).astype(np.float32)
+    assert recall(spark, v / np.linalg.norm(v, axis=1, keepdims=True)) >= 0.9
+
+
+@pytest.mark.parametrize("rows", [[(1, [1.0, 2.0])], [(i, [float(i + 1), 1.0, 0.0]) for i in range(9)] + [(50, [1.0] * 4)], [(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [0.0, 1.0])]])
+def test_p1_single_and_odd_vectors(spark, rows):
+    got = {(r.id, r.neighbour) for r in neighbours.neighbours(spark.createDataFrame(rows, "id bigint, embedding array<float>")).collect()}
+    good = [i for i, x in rows if len(x) == len(rows[0][1]) and all(e == e for e in x)]
+    assert {i for i, _ in got} == (set(good) if len(good) > 1 else set()) and len(got) == len(good) * min(5, len(good) - 1)
+
+
+def test_p1_singleton_cell():
+    """Cells with one stored vector, or none, among far visitors."""
+    m = np.eye(4, dtype=np.float32)
+    q, x, _ = neighbours.search_cell(np.arange(4), np.array([True, False, False, False]), m, 1, 5)
+    assert set(zip(q.tolist(), x.tolist())) == {(0, 1), (0, 2), (0, 3), (1, 0), (2, 0), (3, 0)}
+    assert not len(neighbours.search_cell(np.arange(4), np.zeros(4, bool), m, 1, 5)[0])
+
+
 def test_p1_hot_vector_and_ties(spark):
     rows = [(i, [1.0, 0.0, 0.0]) for i in range(40)] + [(100, [1.0, 0.1, 0.0]), (101, [0.0, 1.0, 0.0]), (7, [1.0, 0.0, 0.0])]
     df = spark.createDataFrame(rows, "id bigint, embedding array<float>")
