@@ -194,65 +194,92 @@ def assign(v: DataFrame, dim: int, cells: Cells) -> DataFrame:
     return v.select("id", "embedding").mapInArrow(run, "cell int, home boolean, id bigint, vec binary")
 
 
-def collisions(hq: np.ndarray, hx: np.ndarray, half: float) -> np.ndarray:
-    """counts[q, x]: arrays in whose query-centred window x falls.  Each array is
-    sorted once; membership is a comparison of places."""
-    n, m = hx.shape
-    counts = np.zeros((len(hq), n), np.uint8)
-    kind = np.uint16 if n < 65535 else np.uint32
-    for j in range(m):
-        order = np.argsort(hx[:, j], kind="stable")
-        arr = hx[order, j]
-        place = np.empty(n, kind)
-        place[order] = np.arange(n, dtype=kind)
-        lo = np.searchsorted(arr, hq[:, j] - half).astype(kind)
-        hi = np.searchsorted(arr, hq[:, j] + half, side="right").astype(kind)
-        counts += (place[None, :] - lo[:, None]) < (hi - lo)[:, None]
-    return counts
+class Arrays:
+    """The sorted projections of a cell's stored rows."""
+
+    def __init__(self, hx: np.ndarray):
+        self.n, m = hx.shape
+        kind = np.uint16 if self.n < 65535 else np.uint32
+        order = np.argsort(hx, axis=0, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(hx, order, 0).T)
+        self.place = np.empty((m, self.n), kind)
+        np.put_along_axis(self.place, order.T, np.arange(self.n, dtype=kind)[None, :], 1)
+
+    def collisions(self, hq: np.ndarray, half: float) -> np.ndarray:
+        """counts[q, x]: arrays in whose query-centred window x falls; membership is a comparison of places."""
+        counts = np.zeros((len(hq), self.n), np.uint8)
+        for j, (arr, place) in enumerate(zip(self.sorted, self.place)):
+            lo = np.searchsorted(arr, hq[:, j] - half).astype(place.dtype)
+            hi = np.searchsorted(arr, hq[:, j] + half, side="right").astype(place.dtype)
+            counts += (place[None, :] - lo[:, None]) < (hi - lo)[:, None]
+        return counts
+
+
+def most(key: np.ndarray, k: int, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k greatest values of each row, all different, without those equal to ``none``."""
+    at = key.shape[1] - min(k, key.shape[1])
+    return np.nonzero(key >= np.maximum(np.partition(key, at, axis=1)[:, at], none + 1)[:, None])
 
 
 def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, neighbour, cosine) found in one cell.  Stored rows widen their
     windows until the k-th neighbour lies well inside; visiting queries open the
     window that 19 of 20 stored rows needed.  Pairs count for both sides."""
+    order = np.argsort(ids, kind="stable")  # places then order ties as ids do
+    ids, home, m = ids[order], home[order], m[order]
     h = m @ (directions(PROJECTIONS, m.shape[1], seed) * np.sqrt(m.shape[1])).T
-    hx, sx, ix = h[home], m[home], ids[home]
+    sx, ix = m[home], ids[home]
     out_q, out_x, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
     enough = min(k, len(ix) - 1)
+    if not len(ix) or (enough < 1 and home.all()):
+        return out_q[0], out_x[0], out_s[0]
+    arrays = Arrays(h[home])
+    wide = np.int64(max(len(ids), 1))
+    kind = np.int32 if wide < 1 << 16 else np.int64
+    none = np.iinfo(kind).min
+
+    known = np.full(len(ix), -2, np.float32)  # cosine of each stored row's k-th neighbour so far
+    place = np.cumsum(home) - 1
+    columns = np.arange(len(ix), dtype=kind)[None, :]
 
     def look(rows: np.ndarray, half: float) -> np.ndarray:
-        """Keeps the best of each row; gives the distance of each row's k-th, infinite if there are fewer."""
+        """Keeps the best pairs of each row, and of visitors those that are better
+        than what a stored row has; gives the distance of each row's k-th neighbour,
+        infinite if there are fewer."""
         reached = np.full(len(rows), np.inf)
-        for s in range(0, len(rows), 1024):
-            part = rows[s : s + 1024]
-            q, x = np.nonzero(collisions(h[part], hx, half) >= COLLISIONS)
-            ok = ids[part][q] != ix[x]
-            q, x = q[ok], x[ok]
-            cos = np.concatenate([np.einsum("ij,ij->i", m[part][q[t : t + 200_000]], sx[x[t : t + 200_000]]) for t in range(0, len(q), 200_000)] or [np.zeros(0, np.float32)])
-            keep = best(q, x, cos, k)
-            q, x, cos = q[keep], x[keep], cos[keep]
-            out_q.append(ids[part][q]), out_x.append(ix[x]), out_s.append(cos)
+        for s in range(0, len(rows), 512):
+            part = rows[s : s + 512]
+            met = arrays.collisions(h[part], half) >= COLLISIONS
+            own = np.flatnonzero(home[part])
+            met[own, place[part[own]]] = False
+            cos = m[part] @ sx.T
+            q, x = most(np.where(met, np.rint(cos * np.float32(1e4)).astype(kind) * kind(wide) - columns, none), k, none)
+            out_q.append(ids[part][q]), out_x.append(ix[x]), out_s.append(cos[q, x])
             n = np.bincount(q, minlength=len(part))
+            worst = np.full(len(part), np.inf, np.float32)
+            np.minimum.at(worst, q, cos[q, x])
             full = np.flatnonzero((n >= enough) & (n > 0))
-            worst = np.full(len(part), np.inf)
-            np.minimum.at(worst, q, cos)
             reached[s + full] = np.sqrt(np.maximum(2 - 2 * worst[full], 0))
+            if len(own):
+                some = full[home[part[full]]]
+                known[place[part[some]]] = np.where(n[some] >= k, worst[some], -2)
+            else:
+                y, c = np.nonzero(met & (cos >= known[None, :] - np.float32(1e-4)))
+                out_q.append(ix[c]), out_x.append(ids[part][y]), out_s.append(cos[y, c])
         return reached
 
-    if enough > 0 or (len(ix) and (~home).any()):
-        active, needed = np.flatnonzero(home), []
-        for step in range(ROUNDS + 1):
-            half = WIDTH * GROWTH**step if step < ROUNDS else np.inf
-            far = look(active, half) * REACH
-            done = far <= half
-            needed.append(np.maximum(far[done], WIDTH * REACH))
-            active = active[~done]
-            if not len(active) or np.isinf(half):
-                break
-        widths = np.concatenate(needed)
-        look(np.flatnonzero(~home), float(np.quantile(widths, 0.95)) if len(widths) > k and np.isfinite(widths).all() else np.inf)
+    active, needed = np.flatnonzero(home), []
+    for step in range(ROUNDS + 1):
+        half = WIDTH * GROWTH**step if step < ROUNDS else np.inf
+        far = look(active, half) * REACH
+        done = far <= half
+        needed.append(np.maximum(far[done], WIDTH * REACH))
+        active = active[~done]
+        if not len(active) or np.isinf(half):
+            break
+    widths = np.concatenate(needed)
+    look(np.flatnonzero(~home), float(np.quantile(widths, 0.95)) if len(widths) > k and np.isfinite(widths).all() else np.inf)
     q, x, s = np.concatenate(out_q), np.concatenate(out_x), np.concatenate(out_s)
-    q, x, s = np.concatenate([q, x]), np.concatenate([x, q]), np.concatenate([s, s])
     keep = best(q, x, s, k)
     return q[keep], x[keep], s[keep]
 
@@ -260,8 +287,7 @@ def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k:
 def best(q: np.ndarray, x: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best distinct (q, x) by cosine, ties to the smaller x."""
     o = np.lexsort((x, -np.round(s, 4), q))
-    o = o[np.unique(np.stack([q[o], x[o]]), axis=1, return_index=True)[1]] if len(o) else o
-    o = o[np.lexsort((x[o], -np.round(s[o], 4), q[o]))]
+    o = o[np.r_[True, (q[o][1:] != q[o][:-1]) | (x[o][1:] != x[o][:-1])]] if len(o) else o  # a pair has one cosine, so its copies are neighbours
     first = np.r_[True, q[o][1:] != q[o][:-1]] if len(o) else np.zeros(0, bool)
     rank = np.arange(len(o)) - np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))
     return o[rank < k]
