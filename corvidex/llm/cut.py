@@ -2,16 +2,23 @@
 
 Method: a vocabulary of the whole corpus is built and used as a trie (every
 proper prefix of every word, met by the suspects' last tokens in a join, so
-the trie is never held in one place).  A last token that is no word of the
-corpus but a proper prefix of one shows a cut inside a word.  This is combined
-with length evidence (a length, in characters or bytes, at which the texts of
-one source stop again and again) and with how often the last word closes a
-sentence elsewhere, which tells a sentence that trails off in dots from one
-that was cut and given dots.
-
-Defined cases: null, empty and blank texts are no case; a text that closes with
-a whole sentence, or with a closing line of its own (list item, reference,
-signature), is whole; repeated rows count once.
+the trie is never held in one place).  Suspects are texts that close with no
+whole sentence.  Three kinds of evidence are weighed for each of them:
+
+- trie: the last token is a proper prefix of words and next to never a word by
+  itself (its own uses are fewer than KNOWN of the uses of what it begins);
+- length: the texts of its source stop at exactly this length, in characters or
+  bytes, far more often than at the lengths around it;
+- closing: the last token closes a sentence in fewer than CLOSES of its uses
+  (CLOSES_BARE where no mark stands after it), so the sentence goes on.
+
+A suspect is cut if one of them speaks for it.  A closing line of its own (list
+item, reference, signature) has no sentence to go on: there only the trie, or
+the length together with the closing rate, counts.  The lack of a full stop is
+no evidence by itself.
+
+Defined cases: null, empty and blank texts are no case; a text that ends in a
+broken character is cut; repeated rows count once.
 """
 
 from __future__ import annotations
@@ -23,13 +30,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import materialise, small, table
 
-#: A word that closes a sentence in fewer than this share of its uses does not close one.
-CLOSES = 0.03
-#: A source's limit: at least so many suspects of exactly one length.
-AT_LIMIT = 4
+#: A word that closes a sentence in fewer than this share of its uses does not close one:
+#: where dots stand after it, and where no mark stands at all.
+CLOSES, CLOSES_BARE = 0.03, 0.09
+#: A source's limit: suspects of exactly one length exceed what the lengths around it
+#: (so many to each side) let expect by so many times its root, and by so many.
+AROUND, SIGMAS, EXCESS = 50, 6, 3
 #: Words of a closing line of its own at most.
 OWN_LINE_WORDS = 8
 
@@ -39,8 +49,8 @@ _DOTS = re.compile(r"(?:…|\.\.+|\[…\]|\[\.\.\.\])[\"'»”’)\]]*$")
 _TAIL = re.compile(r"[.…\s\"'»”’)\]\[]+$")
 _GAP_END = re.compile(r"[\"'»”’)\]]*(?:[.!?…]|\n\s*\n)")
 _SPLITS = ("-\n", "\u2010\n", "\u00ad\n", "\u00ac\n")  # a word goes on in the next line
-#: A word is known if it stands at least so often in the corpus, last tokens left out.
-KNOWN = 3
+#: A token is a word if its own uses, last tokens left out, are at least this share of the uses of the words it begins.
+KNOWN = 0.02
 _PAIRS = re.compile(r"([^\W_]+)([^\w]*)")
 _ITEM = re.compile(r"^\s*(?:[-•*–—]\s|\(?\d{1,2}[.)]\s|[^\s:][^:\n]{0,30}:\s)|\d+\s*/\s*\d+\s*$")
 
@@ -138,42 +148,52 @@ def _counts(words: Counter, ends: Counter, caps: Counter, cap_ends: Counter, hea
     return pa.RecordBatch.from_pydict({**{f: none for f in _NAMES}, "kind": kind, "k1": key, "n": n, "m": m}, schema=_ARROW)
 
 
-def cut_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, source) of the texts of ``docs(doc_id, text, source)`` that were cut, one row each."""
+def limits(doc: DataFrame) -> DataFrame:
+    """(source, unit, length): lengths at which a source's suspects stop again and again."""
+    each = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("octets").alias("unit"), F.col("octets").alias("length")))).alias("x")
+    n = doc.select("source", each).groupBy("source", "x.unit", "x.length").agg(F.count("*").alias("n"))
+    w = W.partitionBy("source", "unit").orderBy("length").rangeBetween(-AROUND, AROUND)  # one row a length
+    expected = (F.sum("n").over(w) - F.col("n")) / (2 * AROUND)
+    return n.withColumn("expected", expected).where(F.col("n") >= F.col("expected") + SIGMAS * F.sqrt("expected") + EXCESS).select("source", "unit", "length")
+
+
+def evidence(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, broken, dots, own, part, at_limit, goes_on) of every suspect among docs(doc_id, text, source)."""
     facts = materialise(scan(docs), "cut")
-    doc = facts.where("kind = 'doc'").select("doc_id", "source", "dots", "own", "head", "token", "prev", "chars", "octets", "broken").distinct()
+    doc = materialise(facts.where("kind = 'doc'").select("doc_id", "source", "dots", "own", "head", "token", "prev", "chars", "octets", "broken").distinct(), "suspects")
     count = lambda kind: facts.where(F.col("kind") == kind).groupBy("k1").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
     # Closing lines of their own: heads that open a short unpunctuated last line in at least half of their lines.
     closers = doc.where("head is not null").groupBy("head").agg(F.countDistinct("doc_id").alias("last"))
     closers = closers.join(count("head"), F.col("head") == F.col("k1")).where("last >= 2 and last * 2 >= n").select("head", F.lit(True).alias("closer"))
 
-    # The vocabulary, and its trie as the set of proper prefixes the suspects' tokens meet.
+    # The vocabulary, and its trie as the proper prefixes the suspects' tokens meet.
     words = materialise(count("word"), "words")
     tokens = materialise(doc.where("token is not null").select("token").distinct(), "tokens")
-    lengths = F.expr("sequence(1, length(k1) - 1)")
-    prefixes = words.where("length(k1) > 1").select(F.explode(F.transform(lengths, lambda i: F.substring("k1", F.lit(1), i))).alias("token"))
-    inside = prefixes.join(small(tokens), "token", "left_semi").distinct().withColumn("inside", F.lit(True))
+    starts = F.transform(F.expr("sequence(1, length(k1) - 1)"), lambda i: F.substring("k1", F.lit(1), i))
+    prefixes = words.where("length(k1) > 1").select(F.explode(starts).alias("token"), "n")
+    begins = prefixes.join(small(tokens), "token", "left_semi").groupBy("token").agg(F.sum("n").alias("begun"))
     seen = words.join(small(tokens), F.col("k1") == F.col("token"), "left_semi").select(F.col("k1").alias("token"), F.col("n").alias("w_n"), F.col("m").alias("w_m"))
     caps = count("cap").select(F.lower("k1").alias("prev"), "n", "m").groupBy("prev").agg(F.sum("n").alias("c_n"), F.sum("m").alias("c_m"))
 
-    # Lengths at which one source stops again and again.
-    limits = doc.select("source", F.explode(F.array(F.struct(F.lit("c").alias("u"), F.col("chars").alias("v")), F.struct(F.lit("o").alias("u"), F.col("octets").alias("v")))).alias("x")).groupBy("source", "x.u", "x.v").count().where(F.col("count") >= AT_LIMIT)
-    by = lambda u, v: limits.where(F.col("u") == u).select(F.col("source").alias("ls"), F.col("v").alias(v), F.lit(True).alias(f"at_{v}"))
-
-    x = doc.join(seen, "token", "left").join(inside, "token", "left").join(closers, "head", "left").join(caps, "prev", "left")
-    for u, v in (("c", "chars"), ("o", "octets")):
-        lim = by(u, v)
-        x = x.join(lim.withColumnRenamed(v, "lv"), F.col("source").eqNullSafe(F.col("ls")) & (F.col(v) == F.col("lv")), "left").drop("ls", "lv")
-    known = F.coalesce("w_n", F.lit(0)) >= KNOWN
-    part = ~known & F.coalesce("inside", F.lit(False))
-    at_limit = F.coalesce("at_chars", F.lit(False)) | F.coalesce("at_octets", F.lit(False))
-    capital = F.col("token").rlike(r"^\p{Lu}")
-    share = F.when(capital, F.coalesce(F.col("c_m") / F.col("c_n"), F.lit(0.0))).when(known, F.col("w_m") / F.col("w_n")).otherwise(F.lit(0.0))
-    own = F.col("own") | F.coalesce("closer", F.lit(False))
-    trails_off = F.col("token").isNull() | (~part & ~at_limit & (share >= CLOSES))
-    cut = F.col("broken") | F.when(F.col("dots"), ~trails_off).otherwise(~own | (part & at_limit))
-    return x.where(cut).select("doc_id", "source").distinct()
+    x = doc.join(seen, "token", "left").join(begins, "token", "left").join(closers, "head", "left").join(caps, "prev", "left")
+    lim = materialise(limits(doc), "limits")
+    for unit in ("chars", "octets"):
+        at = lim.where(F.col("unit") == unit).select(F.col("source").alias("ls"), F.col("length").alias("lv"), F.lit(True).alias(f"at_{unit}"))
+        x = x.join(at, F.col("source").eqNullSafe(F.col("ls")) & (F.col(unit) == F.col("lv")), "left").drop("ls", "lv")
+    uses, begun = F.coalesce("w_n", F.lit(0)), F.coalesce("begun", F.lit(0))
+    part = (begun > 0) & (uses < KNOWN * begun)
+    # a name is judged by the names that follow the same word, as most names are rare themselves
+    name = F.col("token").rlike(r"^\p{Lu}") & (F.coalesce("c_n", F.lit(0)) > 0)
+    rate = F.when(name, F.col("c_m") / F.col("c_n")).when(uses > 0, F.col("w_m") / uses).otherwise(F.lit(0.0))
+    either = F.coalesce("at_chars", F.lit(False)) | F.coalesce("at_octets", F.lit(False))
+    return x.select("doc_id", "source", "broken", "dots", (F.col("own") | F.coalesce("closer", F.lit(False))).alias("own"), (F.col("token").isNotNull() & part).alias("part"), either.alias("at_limit"), (F.col("token").isNotNull() & (rate < F.when(F.col("dots"), CLOSES).otherwise(CLOSES_BARE))).alias("goes_on"))
+
+
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, source) of the texts of ``docs(doc_id, text, source)`` that were cut, one row each."""
+    speaks = F.when(F.col("own"), F.col("part") | (F.col("at_limit") & F.col("goes_on"))).otherwise(F.col("part") | F.col("at_limit") | F.col("goes_on"))
+    return evidence(docs).where(F.col("broken") | speaks).select("doc_id", "source").distinct()
 
 
 def p10_found(spark: SparkSession, base: str) -> DataFrame:

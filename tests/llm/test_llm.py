@@ -450,5 +450,25 @@ def test_p10_cases(spark):
     assert {r.doc_id for r in cut.cut_texts(df).collect()} == {i for i, (_, c) in cases.items() if c}
 
 
+def test_p10_evidence_decides(spark, monkeypatch):
+    """A missing full stop alone is none; the trie speaks even in a line of its own, and so does a source's length."""
+    whole = "La patrulla verificó el registro de familias. El archivo publicó la norma vigente del municipio."
+    rows = [(i, whole, "a") for i in range(30)]
+    rows += [(100, "La patrulla verificó el registro de familias", "a"), (101, whole + "\n- equipos del munic", "a"), (102, whole + "\n- equipos del municipio", "a")]
+    rows += [(200 + i, ("x" * i + " La patrulla verificó el registro de familias")[-40:], "b") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id for r in cut.cut_texts(df).collect()}
+    assert got == {101, *range(200, 206)}
+    monkeypatch.setattr(cut, "KNOWN", 0.0)  # no token is a part any more
+    assert {r.doc_id for r in cut.cut_texts(df).collect()} == got - {101}
+
+
+def test_p10_limits_are_relative(spark):
+    """Common lengths of a large source are no limits; a length far above its neighbours is."""
+    rows = [(400 + k % 100, "big") for k in range(3000)] + [(455, "big")] * 120 + [(70, "small")] * 4
+    doc = spark.createDataFrame([(n, n + 1000 + i, s) for i, (n, s) in enumerate(rows)], "chars int, octets int, source string")
+    assert {tuple(r) for r in cut.limits(doc).where("unit = 'chars'").collect()} == {("big", "chars", 455), ("small", "chars", 70)}
+
+
 def test_p10_regexes_are_linear():
     assert cut.ending("a" * 300_000) is not None and re.compile(cut._ITEM).search("- x")
