@@ -10,6 +10,8 @@ from ..session import materialise, table  # noqa: F401
 
 #: A side is broadcast only if its table on disk is smaller than this.
 BROADCAST_BYTES = 8 << 20
+#: And only up to so many rows, since sorted ids take far less room on disk than in memory.
+BROADCAST_ROWS = 500_000
 
 
 def big(c: str) -> Column:
@@ -24,19 +26,19 @@ def chunk_texts(spark: SparkSession, base: str, *more: str) -> DataFrame:
 
 
 def size_on_disk(df: DataFrame) -> int:
-    """Bytes of the files behind a materialised table."""
+    """Bytes of the folders behind a materialised table: one call a folder."""
     jvm = df.sparkSession._jvm
     conf = df.sparkSession._jsc.hadoopConfiguration()
     total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
     return total
 
 
-def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint for a materialised table, only if its measured size allows."""
-    return F.broadcast(df) if size_on_disk(df) <= limit else df
+def small(df: DataFrame, limit: int = 0) -> DataFrame:
+    """Broadcast hint for a materialised table, only if its measured size and rows allow."""
+    return F.broadcast(df) if size_on_disk(df) <= (limit or BROADCAST_BYTES) and df.count() <= BROADCAST_ROWS else df
 
 
 def once(df: DataFrame, key: str) -> DataFrame:

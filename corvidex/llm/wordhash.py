@@ -65,6 +65,45 @@ def flat(texts: Iterable[list[str]], memo: Words) -> tuple[np.ndarray, np.ndarra
     return h, np.repeat(np.arange(len(lists)), n)
 
 
+class Runs(dict):
+    """Memo of runs without spaces: the hash of a run's word (even), or for a run of
+    no word or several an odd number that leads to their hashes."""
+
+    def __init__(self, words: Words):
+        super().__init__()
+        self.words = words
+        self.several: list[np.ndarray] = []
+
+    def __missing__(self, run: str) -> int:
+        hs = [self.words[w] & ~1 for w in split(run)]
+        if len(hs) == 1:
+            code = hs[0]
+        else:
+            code = 2 * len(self.several) + 1
+            self.several.append(np.array(hs, np.uint64))
+        self[run] = code
+        return code
+
+
+def flat_runs(texts: list[list[str]], memo: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """As ``flat``, of texts split at spaces only: words are found once a distinct run."""
+    if len(memo) > MEMO_WORDS:
+        memo.clear(), memo.several.clear()
+    n = np.fromiter(map(len, texts), np.int64, len(texts))
+    h = np.fromiter(map(memo.__getitem__, chain.from_iterable(texts)), np.uint64, int(n.sum()))
+    who = np.repeat(np.arange(len(texts)), n)
+    odd = np.flatnonzero(h & np.uint64(1))
+    if not len(odd):
+        return h, who
+    parts = [memo.several[c >> 1] for c in h[odd].tolist()]
+    sizes = np.ones(len(h), np.int64)
+    sizes[odd] = inner = np.fromiter(map(len, parts), np.int64, len(parts))
+    first = np.cumsum(sizes) - sizes
+    out = np.repeat(h, sizes)
+    out[np.repeat(first[odd] - (np.cumsum(inner) - inner), inner) + np.arange(inner.sum())] = np.concatenate(parts)
+    return out, np.repeat(who, sizes)
+
+
 def blocks(lists: list[list[str]]) -> Iterator[tuple[int, list[list[str]]]]:
     """Runs of texts of about BLOCK_WORDS words with the number of the first."""
     start, words = 0, 0

@@ -313,6 +313,39 @@ def test_p5_hot_bucket(spark):
     assert {r.group for r in neardup.classes(df).collect()} == {0}
 
 
+def test_p5_crowded_bucket_of_groups(spark):
+    """Thousands of texts in one bucket: those with the same further sample are linked wherever their ids lie."""
+    groups = {i: i * 7 % 500 for i in range(4000)}
+    rows = [(i, (7 << 40) | g) for i, g in groups.items()]
+    got = neardup.candidates(spark.createDataFrame(rows, "id bigint, bucket bigint")).collect()
+    linked = components.components(spark.createDataFrame([(r.a, r.b) for r in got if groups[r.a] == groups[r.b]], "a bigint, b bigint")).collect()
+    root: dict = {}
+    for r in linked:
+        root.setdefault(groups[r.id], set()).add(r.root)
+    assert len(root) == 500 and all(len(x) == 1 for x in root.values()) and len(linked) == 4000
+    assert len(got) <= 4000 * (neardup.NEIGHBOURS + 2)
+
+
+def test_runs_read_as_words():
+    memo = wordhash.Runs(wordhash.Words(accents=True))
+    texts = ["La casa, 2020/21 — (sí). a-b-c", "", "…", "ﬁn\u00a0Ｑ\u200b. x\ty\nz"]
+    h, who = wordhash.flat_runs([t.split() for t in texts], memo)
+    want, whose = wordhash.flat([wordhash.split(t) for t in texts], memo.words)
+    assert (h == want & ~np.uint64(1)).all() and (who == whose).all()
+
+
+@pytest.mark.parametrize("name", ["p1_topk", "p2_found", "p4_found", "p5_classes", "p7_found", "p9_found", "p10_found"])
+def test_joins_instead_of_broadcasts(spark, base, name, monkeypatch):
+    """Results are the same where nothing is small enough to be sent to all."""
+    from corvidex.llm import common
+
+    want = {tuple(r) for r in registry.QUERIES[name](spark, base).collect()}
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    for module in (scanned, leak):
+        monkeypatch.setattr(module, "SENT", -1)
+    assert {tuple(r) for r in registry.QUERIES[name](spark, base).collect()} == want
+
+
 def test_components(spark):
     e = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100), (102, 102)]
     got = {r.id: r.root for r in components.components(spark.createDataFrame(e, "a bigint, b bigint")).collect()}
