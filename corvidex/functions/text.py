@@ -204,6 +204,17 @@ def is_stat_number(c: Column) -> Column:
     return F.trim(c).rlike(r"^[\$€£]?\s*[\d.,]+\s*[%kKmMbB+]?$")
 
 
+def is_useful(text: Column, kind: Column, min_words: int = 4) -> Column:
+    """Whether a unit can support retrieval: it holds more than figures and marks and,
+    unless it is a callout or heading, ``min_words`` words and at most half digits.
+    Null and blank texts cannot."""
+    t = F.regexp_replace(text, r"^\s+|\s+$", "")
+    words = F.size(F.filter(F.split(t, r"\s+"), lambda w: w != ""))
+    digits = F.length(F.regexp_replace(t, r"\P{Nd}", ""))
+    bare = t.rlike(r"^[\s\d.,:;|/\\\-–—•·()\[\]]*$")
+    return F.coalesce(~bare & (kind.isin("callout", "heading") | ((words >= min_words) & (digits <= 0.5 * F.length(t)))), F.lit(False))
+
+
 def windows(text: Column, size: int = 300, overlap: int = 40) -> Column:
     """array<struct<start_word, text>>: overlapping word windows; a text within one window is one."""
     step = max(1, size - overlap)

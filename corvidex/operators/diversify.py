@@ -76,7 +76,9 @@ def mmr(ranking: DataFrame, lam: float = 0.7, n: int = 10, window: int = 60, gra
 def fragments(ranking: DataFrame, n: int = 10, limit: int = 250) -> DataFrame:
     """(query_id, rank, chunk_id, text): the first n pieces of at most ``limit``
     words of ranking(query_id, chunk_id, place, text); blank pieces are skipped."""
-    head = ranking.where(F.col("place") <= 4 * n)
+    # every text that is not blank gives a piece, so the first n of them are enough
+    w = W.partitionBy("query_id").orderBy("place")
+    head = ranking.where(F.col("text").rlike(r"\S")).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n)
     pieces = head.select("query_id", "chunk_id", "place", F.posexplode(split_limit(T.sanitize(F.coalesce("text", F.lit(""))), F.lit(limit))).alias("piece", "text"))
     w = W.partitionBy("query_id").orderBy("place", "piece")
     return pieces.where(F.trim("text") != "").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("query_id", "rank", "chunk_id", "text")

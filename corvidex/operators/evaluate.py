@@ -103,9 +103,9 @@ def sweep(rankings: dict[str, DataFrame], hits_of, relevant: DataFrame, k: int =
 
 
 def best_config(scores: DataFrame, by: str = "rr") -> DataFrame:
-    """The winning row of each grid (config = grid/row); names with ABLATION do not win."""
+    """The winning row of each grid (config = grid/row), ties by nDCG, then name; names with ABLATION do not win."""
     x = scores.where(~F.col("config").contains("ABLATION")).withColumn("grid", F.split("config", "/")[0])
-    return x.groupBy("grid").agg(F.max_by("config", F.struct(by, "ndcg")).alias("config"), F.max(by).alias(by))
+    return x.groupBy("grid").agg(F.min_by("config", F.struct(-F.col(by), -F.col("ndcg"), "config")).alias("config"), F.max(by).alias(by))
 
 
 def results(docs: DataFrame, frags: DataFrame) -> DataFrame:
@@ -117,17 +117,42 @@ def results(docs: DataFrame, frags: DataFrame) -> DataFrame:
 
 def violations(lines: DataFrame, n_docs: int = 3, n_frags: int = 10, limit: int = 250) -> DataFrame:
     """(query_id, problem) for each broken rule of a result line."""
-    d, f = F.coalesce("documents", F.array()), F.coalesce("fragments", F.array())
     size_ok = F.size("documents") == n_docs
     distinct = F.size(F.array_distinct(F.transform("documents", lambda x: x["doc_id"]))) == F.size("documents")
     long = F.exists("fragments", lambda x: F.size(F.filter(F.split(x["text"], r"\s+"), lambda w: w != "")) > limit)
     sep = F.exists("fragments", lambda x: x["text"].rlike("[\\u0085\\u2028\\u2029]"))
-    del d, f
     rules = {"documents": ~F.coalesce(size_ok, F.lit(False)), "repeated_document": ~F.coalesce(distinct, F.lit(False)), "fragments": ~F.coalesce(F.size("fragments") == n_frags, F.lit(False)), "long_fragment": F.coalesce(long, F.lit(False)), "separator": F.coalesce(sep, F.lit(False))}
     problem = F.explode(F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]), lambda x: x.isNotNull()))
     return lines.select("query_id", problem.alias("problem"))
 
 
+def diagnostics(ranking: DataFrame, documents: DataFrame, good_chunks: DataFrame, good_docs: DataFrame, pool_rank: int = 10) -> DataFrame:
+    """(query_id, doc_rank, frag_rank, pool_rank): first place of a relevant document
+    among documents(query_id, doc_id, rank), of a relevant chunk among the first
+    ``pool_rank`` rows of ranking(query_id, chunk_id, rank), and in the whole of it;
+    null where there is none."""
+    hit = ranking.join(good_chunks.select("query_id", "chunk_id").distinct(), ["query_id", "chunk_id"], "left_semi")
+    per = hit.groupBy("query_id").agg(F.min(F.when(F.col("rank") <= pool_rank, F.col("rank"))).alias("frag_rank"), F.min("rank").alias("pool_rank"))
+    d = documents.join(good_docs.select("query_id", "doc_id").distinct(), ["query_id", "doc_id"], "left_semi").groupBy("query_id").agg(F.min("rank").alias("doc_rank"))
+    return ranking.select("query_id").distinct().join(d, "query_id", "left").join(per, "query_id", "left").select("query_id", "doc_rank", "frag_rank", "pool_rank")
+
+
+def mean_reciprocal(ranks: DataFrame, *columns: str) -> DataFrame:
+    """One row: the mean of 1 / rank of each column, 0 where there is none."""
+    return ranks.agg(*[F.round(F.avg(F.coalesce(1.0 / F.col(c), F.lit(0.0))), 6).alias(f"mrr_{c}") for c in columns])
+
+
+def distinct_documents(ranking: DataFrame, n: int = 10) -> DataFrame:
+    """(query_id, n_docs): distinct documents among the first n rows of ranking(query_id, doc_id, rank)."""
+    return ranking.where(F.col("rank") <= n).groupBy("query_id").agg(F.count_distinct("doc_id").alias("n_docs"))
+
+
+def same_document(a: Column, b: Column) -> Column:
+    """Whether one normalised document name ends with the other; empty names match nothing."""
+    x, y = T.norm_doc(a), T.norm_doc(b)
+    return (F.length(x) > 0) & (F.length(y) > 0) & (F.endswith(x, y) | F.endswith(y, x))
+
+
 def alignment(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(side, missing): keys that stand on one side only (store checks)."""
     a = left.select(key).distinct().join(right.select(key), key, "left_anti").agg(F.count("*").alias("missing")).withColumn("side", F.lit("right"))

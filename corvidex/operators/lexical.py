@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from ..session import materialise
 
 #: Decimals kept before ranking, so that summation order decides no tie.
 DECIMALS = 9
@@ -32,53 +33,82 @@ def tokenised(chunks: DataFrame) -> DataFrame:
     return chunks.select("chunk_id", T.tokenize(F.coalesce("text", F.lit(""))).alias("tokens"))
 
 
-def postings(chunks: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """(term, chunk_id, tf, dl).  Term counting is local to a row (a token array
-    is one row's), so the only exchange is none: explode, count per row.  With a
-    vocabulary, other terms are dropped before anything moves."""
-    x = tokenised(chunks).select("chunk_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
-    if vocabulary is not None:
-        x = x.join(vocabulary, "term", "left_semi")
-    return x.groupBy("term", "chunk_id", "dl").agg(F.count("*").alias("tf"))
-
-
-def collection_stats(chunks: DataFrame) -> DataFrame:
-    """One row (n, avgdl)."""
-    return tokenised(chunks).agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("avgdl"))
+#: Terms of all queries up to which a text's tokens are matched within its row; beyond, they are exploded and joined.
+ROW_TERMS = 5_000
 
 
 def idf(df: Column, n: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
-def bm25(chunks: DataFrame, queries: DataFrame, k: int = 1000, k1: float = 1.2, b: float = 0.75, terms: DataFrame | None = None) -> DataFrame:
+class Index:
+    """Inverted index of chunks(chunk_id, text) for queries(query_id, query).
+
+    Texts are tokenised once: a row is reduced to its length and the counts of the
+    terms that any query asks for, and the result is written.  Postings, document
+    frequencies, N and the mean length all come from that table.  With feedback
+    the terms are found in a second pass over the few chunks it needs, and their
+    postings in one more scan."""
+
+    def __init__(self, chunks: DataFrame, queries: DataFrame):
+        self.chunks = chunks
+        self.terms = materialise(query_terms(queries), "terms")
+        self.table = self._counted(self.terms)
+
+    def _counted(self, terms: DataFrame) -> DataFrame:
+        """(chunk_id, dl, tf array<struct<term, n>>), written."""
+        asked = terms.select("term").distinct()
+        x = tokenised(self.chunks)
+        if asked.count() <= ROW_TERMS:
+            known = F.broadcast(asked.agg(F.collect_list("term").alias("known")))  # one row of at most ROW_TERMS terms
+            held = F.array_intersect("tokens", "known")
+            tf = F.transform(held, lambda t: F.struct(t.alias("term"), F.size(F.filter("tokens", lambda w: w == t)).cast("bigint").alias("n")))
+            out = x.crossJoin(known).select("chunk_id", F.size("tokens").alias("dl"), tf.alias("tf"))
+        else:
+            one = x.select("chunk_id", F.size("tokens").alias("dl"), F.explode_outer("tokens").alias("term"))
+            hit = one.join(asked.withColumn("hit", F.lit(True)), "term", "left")
+            per = hit.groupBy("chunk_id", "dl", F.when(F.col("hit"), F.col("term")).alias("term")).agg(F.count("*").alias("n"))
+            out = per.groupBy("chunk_id", "dl").agg(F.filter(F.collect_list(F.struct("term", "n")), lambda s: s["term"].isNotNull()).alias("tf"))
+        return materialise(out, "index")
+
+    def _weights(self, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(postings(term, chunk_id, tf, dl), weights(term, idf, avgdl)) of a counted table."""
+        p = table.select("chunk_id", "dl", F.explode("tf").alias("x")).select("x.term", "chunk_id", F.col("x.n").alias("tf"), "dl")
+        stats = table.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))  # one row
+        w = p.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
+        return p, w.select("term", idf(F.col("df"), F.col("n")).alias("idf"), "avgdl")
+
+    def bm25(self, k: int = 1000, k1: float = 1.2, b: float = 0.75, terms: DataFrame | None = None) -> DataFrame:
+        """(query_id, chunk_id, score, rank): BM25 over distinct query terms, or over ``terms(query_id, term)``."""
+        qt = self.terms if terms is None else terms
+        p, w = self._weights(self.table if terms is None else self._counted(terms))
+        part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
+        scored = p.join(w, "term").withColumn("part", part).join(qt, "term")
+        return top_k(scored.groupBy("query_id", "chunk_id").agg(F.round(F.sum("part"), DECIMALS).alias("score")), k)
+
+    def feedback_terms(self, feedback: int = 10, terms: int = 10) -> DataFrame:
+        """(query_id, term, weight): expansion terms from the first ``feedback``
+        chunks of a first pass: chunks that hold the term times its idf in the
+        query vocabulary, or the count where it has none."""
+        first = materialise(self.bm25(feedback).select("query_id", "chunk_id"), "first")
+        few = self.chunks.join(first.select("chunk_id").distinct(), "chunk_id", "left_semi")
+        held = tokenised(few).select("chunk_id", F.explode(F.array_distinct("tokens")).alias("term"))
+        counts = first.join(held, "chunk_id").groupBy("query_id", "term").agg(F.count("*").alias("c"))
+        known = self._weights(self.table)[1].select("term", "idf")
+        weight = F.round(F.coalesce(F.nullif(F.col("c") * F.coalesce("idf", F.lit(0.0)), F.lit(0.0)), F.col("c").cast("double")), DECIMALS)
+        fresh = counts.join(self.terms, ["query_id", "term"], "left_anti").join(known, "term", "left").select("query_id", "term", weight.alias("weight"))
+        return top_k(fresh, terms, score="weight", tie="term")
+
+    def expanded(self, feedback: int = 10, terms: int = 10) -> DataFrame:
+        """(query_id, term): query terms with their expansion."""
+        return materialise(self.terms.unionByName(self.feedback_terms(feedback, terms).select("query_id", "term")).distinct(), "expanded")
+
+
+def bm25(chunks: DataFrame, queries: DataFrame, k: int = 1000, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query_id, chunk_id, score, rank): BM25 over distinct query terms."""
-    qt = query_terms(queries) if terms is None else terms
-    p = postings(chunks, qt.select("term").distinct())
-    # df over the restricted postings: terms are few, partial counts do the work
-    dfs = p.groupBy("term").agg(F.count("*").alias("df"))
-    stats = collection_stats(chunks)  # one row: a broadcast of fixed size
-    w = dfs.crossJoin(F.broadcast(stats)).select("term", idf(F.col("df"), F.col("n")).alias("idf"), "avgdl")
-    scored = p.join(w, "term").join(qt, "term")
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return top_k(scored.groupBy("query_id", "chunk_id").agg(F.round(F.sum(part), DECIMALS).alias("score")), k)
+    return Index(chunks, queries).bm25(k, k1, b)
 
 
 def rm3_terms(chunks: DataFrame, queries: DataFrame, feedback: int = 10, terms: int = 10) -> DataFrame:
-    """(query_id, term, weight): expansion terms from the first ``feedback``
-    chunks of a first pass: chunks that hold the term times its idf in the
-    query vocabulary, or the count where it has none."""
-    qt = query_terms(queries)
-    first = bm25(chunks, queries, feedback).select("query_id", "chunk_id")
-    held = tokenised(chunks).join(first.select("chunk_id").distinct(), "chunk_id", "left_semi").select("chunk_id", F.explode(F.array_distinct("tokens")).alias("term"))
-    counts = first.join(held, "chunk_id").groupBy("query_id", "term").agg(F.count("*").alias("c"))
-    dfs = postings(chunks, qt.select("term").distinct()).groupBy("term").agg(F.count("*").alias("df"))
-    known = dfs.crossJoin(F.broadcast(collection_stats(chunks))).select("term", idf(F.col("df"), F.col("n")).alias("idf"))
-    weight = F.round(F.coalesce(F.nullif(F.col("c") * F.coalesce("idf", F.lit(0.0)), F.lit(0.0)), F.col("c").cast("double")), DECIMALS)
-    fresh = counts.join(qt, ["query_id", "term"], "left_anti").join(known, "term", "left").select("query_id", "term", weight.alias("weight"))
-    return top_k(fresh, terms, score="weight", tie="term")
-
-
-def expanded_terms(chunks: DataFrame, queries: DataFrame, feedback: int = 10, terms: int = 10) -> DataFrame:
-    """(query_id, term): query terms with their expansion."""
-    return query_terms(queries).unionByName(rm3_terms(chunks, queries, feedback, terms).select("query_id", "term")).distinct()
+    """(query_id, term, weight): the feedback's expansion terms."""
+    return Index(chunks, queries).feedback_terms(feedback, terms)

@@ -9,18 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from ..session import materialise
 
-# Files that never become documents, by name.
-EXCLUDED = (
-    "*catalog*.json", "*catalogo*.json", "*catalog*.csv", "*catalogo*.csv", "*tiles-index.json", "*publicaciones-2.csv", "*pubmed-*.csv", "*pubmed-*.xlsx",
-    "*lit-covid-ai*.csv", "*lit-covid-ai*.xlsx", "*clinicaltrials-*.csv", "*clinicaltrials-*.xlsx", "*.pbf", "Extracto_Preguntas*.pdf", "FASE ORDENADA*.xlsx", "Indice_Datos_Codefest.xlsx",
-)
 # Language suffixes of file names and their order of preference.
-LANGUAGE_RANK = {"spa": 0, "esp": 1, "espanol": 1, "eng": 2, "english": 2, "ing": 3, "ingles": 3, "por": 4, "portugues": 4, "fra": 5, "chi": 9, "rus": 9}
-# Recognition languages by folder, first match wins, and code maps.
-FOLDER_LANGUAGE = (
-    ("Alertas_Tempranas", "spa"), ("MAPP_OEA", "spa"), ("CEEEP", "spa"), ("ILIA_Latam", "spa"), ("RutaN_GEIAL", "spa"), ("CENIA", "spa+eng"), ("INPE", "por"), ("Amazon_Underworld", "spa+por"), ("RESDAL", "eng+spa"),
-)
+LANGUAGE_RANK = {
+    "spa": 0, "esp": 1, "espanol": 1,
+    "eng": 2, "ing": 3, "english": 2, "ingles": 3,
+    "por": 4, "portugues": 4, "fra": 5, "chi": 9, "rus": 9,
+}
+# Recognition language where no folder decides, and code maps.
 DEFAULT_LANGUAGE = "eng+spa"
 TWO_LETTER = {"spa": "es", "eng": "en", "por": "pt", "fra": "fr", "deu": "de", "ita": "it"}
 DATA_IMAGE = ("table", "chart", "stoplight", "by-country", "figure", "fig-", "graph", "matrix", "timeline")
@@ -33,7 +30,7 @@ def glob_regex(pattern: str) -> str:
     return "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in pattern.lower()) + "$"
 
 
-def excluded_by(path: Column, patterns: tuple[str, ...] = EXCLUDED) -> Column:
+def excluded_by(path: Column, patterns: tuple[str, ...] = ()) -> Column:
     """First pattern that matches the file's name in any letter case, empty if none."""
     name = F.lower(T.file_name(path))
     out = F.lit("")
@@ -58,9 +55,10 @@ def redundant_translations(files: DataFrame, keep_below: int = PREFERRED_BELOW)
     return x.where(F.col("rank") >= keep_below).join(good, "base", "left_semi").select("path")
 
 
-def language_for(path: Column) -> Column:
+def language_for(path: Column, folders: tuple[tuple[str, str], ...] = ()) -> Column:
+    """Recognition language of a path: that of the first (part of a path, language) that matches."""
     out = F.lit(DEFAULT_LANGUAGE)
-    for key, lang in reversed(FOLDER_LANGUAGE):
+    for key, lang in reversed(folders):
         out = F.when(F.contains(path, F.lit(key)), F.lit(lang)).otherwise(out)
     return out
 
@@ -104,7 +102,7 @@ def folder_report(profiles: DataFrame) -> DataFrame:
     )
 
 
-def plan(files: DataFrame, ocr: bool = True, layout_model: bool = True) -> DataFrame:
+def plan(files: DataFrame, ocr: bool = True, layout_model: bool = True, excluded: tuple[str, ...] = ()) -> DataFrame:
     """files(path, format, pages, klass, profile columns, routed) -> one row a task:
     (path, route, first_page, last_page, weight).  Each file takes exactly one
     route; long digital files are split into shards."""
@@ -112,7 +110,7 @@ def plan(files: DataFrame, ocr: bool = True, layout_model: bool = True) -> DataF
     scanned = F.col("klass").isin("scanned", "empty")
     route = F.when(fmt == "img", F.when(carries_data(T.file_name(F.col("path"))) & F.lit(ocr), "ocr").otherwise("skip"))
     route = route.when((fmt == "pdf") & scanned, "ocr" if ocr else "skip").when((fmt == "pdf") & F.coalesce("routed", F.lit(False)) & F.lit(layout_model), "layout").when((fmt == "pdf") & (F.coalesce("pages", F.lit(0)) > SHARD_FROM), "shard").otherwise("file")
-    x = files.where(excluded_by(F.col("path")) == "").withColumn("route", route).where("route <> 'skip'")
+    x = files.where(excluded_by(F.col("path"), excluded) == "").withColumn("route", route).where("route <> 'skip'")
     first = F.when(F.col("route") == "shard", F.sequence(F.lit(0), F.col("pages") - 1, F.lit(SHARD_PAGES))).otherwise(F.array(F.lit(0)))
     x = x.select("path", "route", "pages", F.explode(first).alias("first_page"))
     last = F.when(F.col("route") == "shard", F.least(F.col("first_page") + SHARD_PAGES, "pages")).otherwise(F.coalesce("pages", F.lit(1)))
@@ -133,12 +131,36 @@ def path_key(path: Column) -> Column:
 
 def with_inventory(files: DataFrame, inv: DataFrame) -> DataFrame:
     """files(path, ...) with doc_id, phenomenon (first of 1 to 3 in the folder where
-    the inventory has none) and observatory; files without a row get DOC-ids by order of path."""
+    the inventory has none) and observatory; doc_id is null for files without a row."""
     x = files.withColumn("key", path_key(F.col("path"))).join(inventory_lookup(inv), "key", "left")
     folder = F.regexp_extract(F.split("path", "/")[0], "[123]", 0).try_cast("int")
     return x.withColumn("phenomenon", F.coalesce("phenomenon", folder, F.lit(0))).drop("key")
 
 
+def fallback_ids(files: DataFrame) -> DataFrame:
+    """files(path, doc_id, ...) with DOC-00000 and so on, the file's place in order of
+    path, where doc_id is null or empty.  Places come from a range sort and the
+    partitions' counts, so no task sees all files."""
+    stored = materialise(files.repartitionByRange("path").sortWithinPartitions("path").withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "places")
+    counts = stored.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_at").alias("_first"))
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
+    x = stored.join(F.broadcast(offsets.drop("_rows")), "_part")
+    place = F.col("_at") - F.col("_first") + F.col("_offset")
+    return x.withColumn("doc_id", F.coalesce(F.nullif("doc_id", F.lit("")), F.format_string("DOC-%05d", place))).drop("_part", "_at", "_first", "_offset")
+
+
+def with_profiles(files: DataFrame, profiles: DataFrame) -> DataFrame:
+    """files(path, ...) with the triage profile of each path; files that were not
+    profiled have nulls in its columns."""
+    return files.join(profiles.dropDuplicates(["path"]), "path", "left")
+
+
+def routed_files(files: DataFrame, routing: DataFrame) -> DataFrame:
+    """Files that the routing list(path) names, in any way of writing the path."""
+    keys = routing.select(path_key(F.col("path")).alias("_key")).distinct()
+    return files.withColumn("_key", path_key(F.col("path"))).join(keys, "_key", "left_semi").drop("_key")
+
+
 def not_cached(files: DataFrame, manifest: DataFrame, version: str = "1") -> DataFrame:
     """Files whose content key is not in the manifest (incremental rebuild)."""
     key = F.sha1(F.concat_ws("|", "path", F.col("length").cast("string"), F.col("modificationTime").cast("string"), F.lit(version)))
@@ -155,5 +177,5 @@ def extractor_choice(scores: DataFrame, margin: float = 1.0) -> DataFrame:
 def round_robin(files: DataFrame, n: int) -> DataFrame:
     """The first n files taking one from each folder in turn (a sampling operator)."""
     w = W.partitionBy("folder").orderBy("path")
-    x = files.withColumn("turn", F.row_number().over(w))
+    x = files.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n)
     return x.withColumn("place", F.row_number().over(W.orderBy("turn", "folder"))).where(F.col("place") <= n).select("folder", "path", "place")

@@ -8,13 +8,15 @@ by 50.  Scores are rounded before ranking, so summation order decides no tie.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
 from ..operators import chunking, diversify, evaluate, fusion, graph, layout, lexical, vector
-from ..session import table
+from ..session import materialise, table
 from ..sources import files as sources
 from . import inventory, retrieval
 
@@ -106,16 +108,16 @@ def q_norm_text(spark, base):
     return docs(spark, base, T.norm_text(F.col("text")).alias("norm"), T.estimate_tokens(F.col("text")).alias("tokens"))
 
 
-@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', ' ', 'g'),
- '([\p{L}\p{N}_])-\n([\p{L}\p{N}_])', '\1\2', 'g'), '\n\n\n+', chr(10) || chr(10), 'g'), '([^\n])\n([^\n])', '\1 \2', 'g'), '[ \t\x{00A0}\x{2007}\x{202F}]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS cleaned
- FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '\n.\n')""")
-def q_clean(spark, base):
-    return docs(spark, base, "text").where(r"text is null or not text rlike '\\n[^\\n]\\n'").select("doc_id", T.clean(F.col("text")).alias("cleaned"))
+def _clean_sql(c: str) -> str:
+    """The steps of ``clean``; lone line breaks in two passes, since a one-character line would need lookaround."""
+    t = rf"regexp_replace({c}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', ' ', 'g')"
+    for pattern, to in ((r"'([\p{L}\p{N}_])-\n([\p{L}\p{N}_])'", r"'\1\2'"), (r"'([\p{L}\p{N}_])-\n([\p{L}\p{N}_])'", r"'\1\2'"), (r"'\n\n\n+'", "chr(10) || chr(10)"), (r"'(^|[^\n])\n([^\n]|$)'", r"'\1 \2'"), (r"'(^|[^\n])\n([^\n]|$)'", r"'\1 \2'"), (r"'[ \t\x{00A0}\x{2007}\x{202F}]+'", "' '"), ("' *\\n *'", "chr(10)"), (r"'^\s+|\s+$'", "''")):
+        t = f"regexp_replace({t}, {pattern}, {to}, 'g')"
+    return f"trim({t})"
 
 
-@query()
-def q_clean_all(spark, base):
-    """Every text, also those with one-character lines, where the SQL of ``q_clean`` has no lookaround."""
+@query(f"SELECT doc_id, {_clean_sql('text')} AS cleaned FROM documents")
+def q_clean(spark, base):
     return docs(spark, base, T.clean(F.col("text")).alias("cleaned"))
 
 
@@ -130,37 +132,38 @@ def q_guess_title(spark, base):
     return docs(spark, base, T.guess_title(F.col("text"), F.col("file_name")).alias("title"))
 
 
-@query(r"""SELECT DISTINCT nombre_archivo AS name, regexp_replace(lower(nombre_archivo), '[_\-\s]+', '', 'g') AS doc_key, regexp_replace(lower(trim(nombre_archivo)), '[_\s]+', '-', 'g') AS inv_key FROM chunks
- WHERE nombre_archivo IS NOT NULL AND NOT regexp_matches(nombre_archivo, '[^\x00-\x{024F}]')""")
+@query(r"""SELECT DISTINCT nombre_archivo AS name, regexp_replace(lower(nombre_archivo), '[_\-\s]+', '', 'g') AS doc_key, regexp_replace(lower(trim(nombre_archivo)), '[_\s]+', '-', 'g') AS inv_key FROM chunks WHERE nombre_archivo IS NOT NULL""")
 def q_norm_names(spark, base):
-    n = table(spark, base, "chunks").select(F.col("nombre_archivo").alias("name")).where(r"name is not null and not name rlike '[^\\x00-\\x{024F}]'").distinct()
+    n = table(spark, base, "chunks").select(F.col("nombre_archivo").alias("name")).where("name is not null").distinct()
     return n.select("name", T.norm_doc(F.col("name")).alias("doc_key"), T.norm_name(F.col("name")).alias("inv_key"))
 
 
-@query()
-def q_norm_names_all(spark, base):
-    """Every file name, in whatever script."""
-    n = table(spark, base, "chunks").select(F.col("nombre_archivo").alias("name")).where("name is not null").distinct()
-    return n.select("name", T.norm_doc(F.col("name")).alias("doc_key"), T.norm_name(F.col("name")).alias("inv_key"))
+_ALIASED = [k.upper() for k in T.ENTITY_ALIASES]
+_KEY = r"trim(regexp_replace(strip_accents(lower(trim(name))), '[^\p{L}\p{N}_]+', ' ', 'g'))"
 
 
-@query(r"""SELECT source, count(*) AS n FROM (SELECT trim(regexp_replace(strip_accents(lower(trim(source))), '[^\p{L}\p{N}_]+', ' ', 'g')) AS source FROM documents) GROUP BY 1""")
+@query(f"""SELECT entity, count(*) AS n FROM (SELECT CASE {_KEY} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in T.ENTITY_ALIASES.items())} ELSE {_KEY} END AS entity
+ FROM (SELECT unnest([source, {_ALIASED}[1 + doc_id % {len(_ALIASED)}]]) AS name FROM documents)) GROUP BY 1""")
 def q_norm_entity(spark, base):
-    return docs(spark, base, T.norm_entity(F.col("source")).alias("source")).groupBy("source").agg(F.count("*").alias("n"))
+    """Names of sources, and names written as aliases."""
+    alias = F.array(*[F.lit(a) for a in _ALIASED])[(F.col("doc_id") % len(_ALIASED)).cast("int")]
+    n = docs(spark, base, F.explode(F.array("source", alias)).alias("name"))
+    return n.select(T.norm_entity(F.col("name")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n"))
 
 
 def _relation_sql(c: str) -> str:
     return f"CASE WHEN length({c}) > 220 THEN NULL " + " ".join(f"WHEN regexp_matches(lower({c}), '{p}') THEN '{n}'" for p, n in T.RELATIONS) + " ELSE 'coocurre_con' END"
 
 
-@query(f"SELECT doc_id, {_relation_sql('part')} AS relacion FROM (SELECT doc_id, substring(text, 1, 160 + CAST(doc_id % 90 AS INT)) AS part FROM documents WHERE text IS NOT NULL)")
+@query(f"SELECT doc_id, line_no, {_relation_sql('line')} AS relacion FROM (SELECT doc_id, unnest(range(0, len(l))) AS line_no, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))")
 def q_graph_relation_type(spark, base):
-    part = F.substring("text", F.lit(1), (F.lit(160) + F.col("doc_id") % 90).cast("int"))
-    return docs(spark, base, "text").where("text is not null").select("doc_id", T.relation_type(part).alias("relacion"))
+    """Relation each line of a text names."""
+    x = docs(spark, base, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return x.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), T.relation_type(F.col("line")).alias("relacion"))
 
 
 @query()
-def q_graph_relation_type_all(spark, base):
+def q_graph_relations_between(spark, base):
     """Relation of every two neighbouring mentions over whole texts."""
     gaps = graph.gaps(docs(spark, base, "text").withColumnRenamed("doc_id", "chunk_id"))
     return gaps.select(F.col("chunk_id").alias("doc_id"), "gap_no", T.relation_type(F.col("between")).alias("relacion"))
@@ -336,7 +339,15 @@ def q_retrieve_hybrid(spark, base):
     return d.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
-@query()
+DD = f"""hg AS (SELECT query_id, chunk_id, rank, {grams_sql('w', 8)} AS g FROM (SELECT ranked.query_id, ranked.chunk_id, ranked.rank, {words('texto')} AS w FROM ranked JOIN ch USING (chunk_id))),
+hd2 AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS n FROM hg WHERE rank <= 200 AND len(g) > 0),
+near AS (SELECT a.query_id, a.n AS i, b.n AS j FROM hd2 a JOIN hd2 b ON a.query_id = b.query_id AND a.n < b.n WHERE len(list_intersect(a.g, b.g)) >= 0.45 * least(len(a.g), len(b.g))),
+fold(query_id, n, kept) AS (SELECT query_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM (SELECT DISTINCT query_id FROM hd2)
+ UNION ALL SELECT f.query_id, f.n + 1, CASE WHEN EXISTS (SELECT 1 FROM near x WHERE x.query_id = f.query_id AND x.j = f.n + 1 AND list_contains(f.kept, x.i)) THEN f.kept ELSE list_append(f.kept, f.n + 1) END FROM fold f JOIN (SELECT query_id, max(n) AS most FROM hd2 GROUP BY 1) m ON f.query_id = m.query_id WHERE f.n < m.most),
+un AS (SELECT hd2.query_id, chunk_id, rank FROM hd2 JOIN (SELECT query_id, arg_max(kept, n) AS kept FROM fold GROUP BY 1) k ON hd2.query_id = k.query_id AND list_contains(kept, n) UNION ALL SELECT query_id, chunk_id, rank FROM hg WHERE rank > 200)"""
+
+
+@query(f"WITH RECURSIVE {RRF}, {CH}, {_boosted('score + 0.2 * span')}, {_rerank_sql('boost', 150)}, {DD} SELECT query_id, chunk_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rank) AS INTEGER) AS place FROM un")
 def q_dedupe(spark, base):
     return _hybrid(spark, base)["unique"].select("query_id", "chunk_id", "place")
 
@@ -359,10 +370,16 @@ def q_results(spark, base):
     return evaluate.results(r["documents"], r["fragments"])
 
 
-@query()
+@query("""WITH r AS (SELECT doc_id AS query_id, doc_id % 4 <> 1 AS documents, doc_id % 5 = 0 AS repeated_document, doc_id % 3 <> 1 AS fragments, doc_id % 7 = 0 AS long_fragment, doc_id % 11 = 0 AS separator FROM documents)
+SELECT query_id, problem FROM (UNPIVOT r ON documents, repeated_document, fragments, long_fragment, separator INTO NAME problem VALUE bad) WHERE bad""")
 def q_validate(spark, base):
-    r = _hybrid(spark, base)
-    return evaluate.violations(evaluate.results(r["documents"], r["fragments"]))
+    """Result lines with planted faults: wrong numbers, a repeated document, a long piece, a separator."""
+    i = F.col("doc_id")
+    documents = F.transform(F.sequence(F.lit(1), (F.lit(2) + i % 4).cast("int")), lambda k: F.struct(k.alias("rank"), F.concat(F.lit("d"), F.when((i % 5 == 0) & (k == 2), F.lit(1)).otherwise(k)).alias("doc_id")))
+    said = lambda k: F.concat(F.repeat(F.lit("x "), F.when((i % 7 == 0) & (k == 3), F.lit(250)).otherwise(F.lit(249))), F.lit("x"), F.when((i % 11 == 0) & (k == 2), F.lit("\u2028")).otherwise(F.lit("")))
+    fragments = F.transform(F.sequence(F.lit(1), (F.lit(9) + i % 3).cast("int")), lambda k: F.struct(k.alias("rank"), k.alias("chunk_id"), F.lit("d").alias("doc_id"), said(k).alias("text")))
+    lines = docs(spark, base).select(i.alias("query_id"), documents.alias("documents"), fragments.alias("fragments"))
+    return evaluate.violations(lines)
 
 
 @query("SELECT count(*) FILTER (doc_id_oficial IS NOT NULL AND doc_id_oficial <> '') AS filled, count(*) FILTER (regexp_matches(doc_id_oficial, '^F[123]-[A-Z0-9]+-\\d+$')) AS official, count(DISTINCT doc_id_oficial) AS distinct_ids FROM chunks")
@@ -377,6 +394,114 @@ def q_alignment(spark, base):
     return evaluate.alignment(table(spark, base, "chunks").select(F.col("chunk_id").try_cast("bigint").alias("chunk_id")), table(spark, base, "chunk_vectors"), "chunk_id")
 
 
+@query(rf"""SELECT chunk_id, kind, NOT regexp_matches(t, '^[\s\d.,:;|/\\\-–—•·()\[\]]*$') AND (kind IN ('callout', 'heading') OR (len(list_filter(string_split_regex(t, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) >= 4 AND length(regexp_replace(t, '\P{{Nd}}', '', 'g')) <= 0.5 * length(t))) AS useful
+FROM (SELECT chunk_id, kind, coalesce(regexp_replace(texto, '^\s+|\s+$', '', 'g'), '') AS t FROM (SELECT DISTINCT CAST(chunk_id AS BIGINT) AS chunk_id, coalesce(tipo, 'body') AS kind, texto FROM chunks))""")
+def q_useful_units(spark, base):
+    c = once(spark, base, F.coalesce("tipo", F.lit("body")).alias("kind"), F.col("texto").alias("text"))
+    return c.select("chunk_id", "kind", T.is_useful(F.col("text"), F.col("kind")).alias("useful"))
+
+
+@query(f"""WITH w AS (SELECT chunk_id, doc_id, posicion, {grams_sql('w', 8)} AS g FROM (SELECT chunk_id, doc_id, posicion, {words('texto')} AS w FROM (SELECT DISTINCT CAST(chunk_id AS BIGINT) AS chunk_id, doc_id, posicion, texto FROM chunks))),
+p AS (SELECT *, lag(g) OVER (PARTITION BY doc_id ORDER BY posicion, chunk_id) AS above FROM w)
+SELECT chunk_id, round(CASE WHEN least(len(g), len(above)) > 0 THEN len(list_intersect(g, above)) / least(len(g), len(above)) ELSE 0 END, 6) AS containment FROM p WHERE above IS NOT NULL""")
+def q_shingles_containment(spark, base):
+    """How much of a chunk its neighbour above holds, by eight-word shingles."""
+    c = once(spark, base, "doc_id", "posicion", F.col("texto").alias("text")).withColumn("g", T.shingles(F.coalesce("text", F.lit("")), 8))
+    x = c.withColumn("above", F.lag("g").over(W.partitionBy("doc_id").orderBy("posicion", "chunk_id"))).where("above is not null")
+    return x.select("chunk_id", F.round(T.containment(F.col("g"), F.col("above")), 6).alias("containment"))
+
+
+_CN = "chunk_names AS (SELECT DISTINCT doc_id, nombre_archivo AS name FROM chunks WHERE nombre_archivo IS NOT NULL)"
+_ND = lambda c: rf"regexp_replace(lower(string_split(replace({c}, chr(92), '/'), '/')[-1]), '[_\-\s]+', '', 'g')"
+
+
+@query(f"WITH {_CN} SELECT DISTINCT doc_id, name, path, length({_ND('name')}) > 0 AND length({_ND('path')}) > 0 AND (suffix({_ND('name')}, {_ND('path')}) OR suffix({_ND('path')}, {_ND('name')})) AS same FROM chunk_names JOIN inventory USING (doc_id) WHERE path IS NOT NULL")
+def q_document_match(spark, base):
+    """Stored names against the inventory's paths: one ends with the other."""
+    n = table(spark, base, "chunks").select("doc_id", F.col("nombre_archivo").alias("name")).where("name is not null").distinct()
+    inv = table(spark, base, "inventory").select("doc_id", "path").where("path is not null").distinct()
+    return n.join(inv, "doc_id").select("doc_id", "name", "path", evaluate.same_document(F.col("name"), F.col("path")).alias("same"))
+
+
+RD = f"""{RRF}, {CH}, gc AS (SELECT query_id, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS r FROM cs WHERE channel = 'rerank') WHERE r BETWEEN 4 AND 8), rk AS (SELECT rrf.*, ch.doc_id FROM rrf JOIN ch USING (chunk_id)),
+dr AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY min(rank)) AS rank FROM rk GROUP BY 1, 2)"""
+
+
+def _judged(spark, base):
+    """(ranking with doc_id, documents by best chunk, relevant chunks): the re-ranker's places 4 to 8 are relevant."""
+    meta = once(spark, base, "doc_id")
+    ranking = fusion.rrf(channels(spark, base), WEIGHTS).join(meta, "chunk_id")
+    best = ranking.groupBy("query_id", "doc_id").agg(F.min("rank").alias("first"))
+    documents = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("first")))
+    good = lexical.top_k(channels(spark, base).where("channel = 'rerank'"), 8).where("rank >= 4").select("query_id", "chunk_id")
+    return ranking, documents, good, good.join(meta, "chunk_id").select("query_id", "doc_id").distinct()
+
+
+@query(f"""WITH {RD} SELECT q.query_id, d.doc_rank, f.frag_rank, p.pool_rank FROM (SELECT DISTINCT query_id FROM rk) q
+LEFT JOIN (SELECT query_id, min(rank) AS doc_rank FROM dr WHERE (query_id, doc_id) IN (SELECT (query_id, doc_id) FROM gc JOIN ch USING (chunk_id)) GROUP BY 1) d USING (query_id)
+LEFT JOIN (SELECT query_id, min(rank) FILTER (rank <= 10) AS frag_rank FROM rk JOIN gc USING (query_id, chunk_id) GROUP BY 1) f USING (query_id)
+LEFT JOIN (SELECT query_id, min(rank) AS pool_rank FROM rk JOIN gc USING (query_id, chunk_id) GROUP BY 1) p USING (query_id)""")
+def q_rank_diagnostics(spark, base):
+    d = evaluate.diagnostics(*_judged(spark, base))
+    return d.select("query_id", *[F.col(c).cast("bigint").alias(c) for c in ("doc_rank", "frag_rank", "pool_rank")])
+
+
+@query(f"WITH {RD} SELECT query_id, count(DISTINCT doc_id) AS n_docs FROM rk WHERE rank <= 10 GROUP BY 1")
+def q_distinct_documents(spark, base):
+    return evaluate.distinct_documents(_judged(spark, base)[0])
+
+
+# ---- retrieval from texts, both presets -------------------------------------
+
+_SN = f"""sg AS (SELECT DISTINCT chunk_id, unnest({grams_sql('w', 2)}) AS entity FROM (SELECT chunk_id, {words('titulo')} AS w FROM (SELECT DISTINCT CAST(chunk_id AS BIGINT) AS chunk_id, titulo FROM chunks) WHERE titulo IS NOT NULL)),
+nm AS (SELECT entity FROM sg GROUP BY 1 HAVING count(*) >= 2 AND entity <> ''), nc AS (SELECT entity, chunk_id FROM sg WHERE entity IN (SELECT entity FROM nm)),
+qn AS (SELECT query_id, ' ' || array_to_string({words('query')}, ' ') || ' ' AS q FROM rq), ht AS (SELECT DISTINCT query_id, entity FROM qn JOIN nm ON contains(q, ' ' || entity || ' ')),
+lk AS (SELECT * FROM ht WHERE NOT EXISTS (SELECT 1 FROM ht o WHERE o.query_id = ht.query_id AND length(o.entity) > length(ht.entity) AND contains(o.entity, ht.entity))),
+ep AS (SELECT x.entity AS a, y.entity AS b, count(*) AS peso FROM nc x JOIN nc y ON x.chunk_id = y.chunk_id AND x.entity < y.entity GROUP BY 1, 2),
+gb AS (SELECT a AS entity, b AS other, peso FROM ep UNION ALL SELECT b, a, peso FROM ep),
+gp AS (SELECT query_id, chunk_id, 1.0 AS part FROM lk JOIN nc USING (entity) UNION ALL SELECT query_id, chunk_id, 0.4 * least(peso, 10) / 10.0 FROM lk JOIN gb USING (entity) JOIN nc ON nc.entity = other),
+gs AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (SELECT query_id, chunk_id, round(sum(part), 9) AS score FROM gp GROUP BY 1, 2))"""
+_ALL = "SELECT query_id, 'bm25' AS channel, chunk_id, score FROM bm WHERE rank <= 1000 UNION ALL SELECT query_id, 'grafo', chunk_id, score FROM gs WHERE rank <= 1000 UNION ALL SELECT query_id, channel, chunk_id, score FROM c0 WHERE channel IN ('dense_a', 'dense_b')"
+
+
+def _search_sql(fused: str, name: str, weights: str, lift: str, agg: str, bonus: bool) -> str:
+    f = fused.replace(CS + ",", f"cs AS ({_ALL}),").replace(_W, weights)
+    head = f"WITH {BM}, {_SN}, {CS.replace('cs AS', 'c0 AS')}, {f}"
+    boost = _boosted(lift).replace("FROM rrf", f"FROM (SELECT * FROM {name} WHERE rank <= 1000)")
+    return f"{head}, {boost}, {_docs_sql('boost', agg, bonus)}"
+
+
+def _search(spark, base, settings):
+    c = once(spark, base, "doc_id", F.col("fenomeno").alias("phenomenon"), F.col("texto").alias("text"))
+    t = once(spark, base, "titulo").where("titulo is not null").select("chunk_id", F.explode(T.grams(T.all_words(F.col("titulo")), 2)).alias("entity")).distinct()
+    # the graph is built once and stored, as a search finds it
+    t = materialise(t, "titles")
+    names = materialise(t.groupBy("entity").agg(F.count("*").alias("df")).where("df >= 2 and entity <> ''").select("entity"), "names")
+    where = materialise(t.join(names, "entity", "left_semi"), "node_chunks")
+    e = materialise(graph.pairs(where, names).groupBy("a", "b").agg(F.count("*").alias("peso")), "edge_rows")
+    dense = channels(spark, base).where("channel in ('dense_a', 'dense_b')")
+    d = retrieval.search(c, asked(spark, base), settings, dense, names, where, e)["documents"]
+    return d.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(_search_sql(RRF, "rrf", "CASE channel WHEN 'bm25' THEN 0.5 WHEN 'grafo' THEN 0.5 ELSE 1.0 END", "score + 0.2 * span", "sum(pow(0.85, hit - 1) / (60 + rank))", False))
+def q_search_default(spark, base):
+    """From texts to documents under the default settings."""
+    return _search(spark, base, retrieval.PRESETS["code_default"])
+
+
+@query(_search_sql(COMB, "comb", "CASE channel WHEN 'bm25' THEN 1.0 WHEN 'grafo' THEN 0.5 ELSE 1.0 END", "score * 1.08", "max(score)", True))
+def q_search_submitted(spark, base):
+    """From texts to documents under the settings once submitted."""
+    return _search(spark, base, retrieval.PRESETS["readme_submitted"])
+
+
+@query()
+def q_search_feedback(spark, base):
+    """The same with a second lexical pass over expanded queries."""
+    return _search(spark, base, replace(retrieval.PRESETS["code_default"], rm3=True))
+
+
 # ---- graph -----------------------------------------------------------------
 
 MEN = "men AS (SELECT DISTINCT l_orderkey AS chunk_id, 'p' || l_partkey AS entity FROM lineitem), fr AS (SELECT entity, count(*) AS f FROM men GROUP BY 1), kp AS (SELECT entity, f FROM fr WHERE f >= 20 AND f <= greatest(1, floor(0.0025 * (SELECT count(DISTINCT l_orderkey) FROM lineitem))))"
@@ -400,10 +525,10 @@ ed AS (SELECT a, b, 'coocurre_con' AS relacion, count(DISTINCT chunk_id) AS peso
  FROM pr JOIN orders ON chunk_id = o_orderkey GROUP BY 1, 2)"""
 
 
-def _edges(spark, base):
+def _edges(spark, base, min_bare=1):
     m, kept = _mentions(spark, base)
     owner = table(spark, base, "orders").select(F.col("o_orderkey").alias("chunk_id"), F.col("o_custkey").alias("doc_id"))
-    return graph.edges(graph.pairs(m, kept).join(owner, "chunk_id").withColumn("relacion", F.lit("coocurre_con")))
+    return graph.edges(graph.pairs(m, kept).join(owner, "chunk_id").withColumn("relacion", F.lit("coocurre_con")), min_bare)
 
 
 @query(f"WITH {EDG} SELECT * FROM ed")
@@ -414,7 +539,7 @@ def q_graph_edges(spark, base):
 
 @query(f"WITH {EDG} SELECT relacion, count(*) AS n, sum(peso) AS weight FROM ed WHERE peso >= 2 GROUP BY 1")
 def q_graph_pruned(spark, base):
-    return _edges(spark, base).where("relacion <> 'coocurre_con' or peso >= 2").groupBy("relacion").agg(F.count("*").alias("n"), F.sum("peso").alias("weight"))
+    return _edges(spark, base, 2).groupBy("relacion").agg(F.count("*").alias("n"), F.sum("peso").alias("weight"))
 
 
 def _title_names(spark, base):
@@ -459,6 +584,16 @@ def q_entities_heuristic(spark, base):
     return graph.clean_mentions(m).select("chunk_id", "entity", F.col("group").alias("tipo"), "start", "ordinal")
 
 
+@query()
+def q_graph_from_texts(spark, base):
+    """Entity graph of all chunks: mentions, frequency band, relations of neighbouring mentions, edges."""
+    c = once(spark, base, "doc_id", F.col("texto").alias("text"))
+    m = graph.clean_mentions(graph.heuristic_mentions(c))
+    kept = graph.kept_entities(m, c.agg(F.count("*").alias("n")))
+    rows = graph.labelled_pairs(m, kept, c).join(c.select("chunk_id", "doc_id"), "chunk_id")
+    return graph.edges(rows, 2).select("a", "b", "relacion", "peso", F.size("chunks").alias("n_chunks"), F.size("docs").alias("n_docs"))
+
+
 # ---- evaluation ------------------------------------------------------------
 
 
@@ -529,7 +664,22 @@ def q_eval_macro(spark, base):
     return evaluate.macro(evaluate.measures(hits(r), n))
 
 
-@query()
+def _sweep_sql() -> str:
+    """Every setting's fusion written out, measured against the re-ranker's first five."""
+    one = []
+    for name, src, sql, key in (("bm25", "rrf", RRF, "bm25"), ("graph", "comb", COMB, "grafo")):
+        for w in (0.0, 1.0):
+            body = sql.replace(_W, f"CASE channel WHEN '{key}' THEN {w} WHEN 'rerank' THEN 0.0 ELSE 1.0 END").replace(CS + ",", "")
+            one.append(f"SELECT '{name}/{w}' AS config, query_id, chunk_id, rank FROM (WITH {body} SELECT * FROM {src})")
+    return f"""{CS}, gd AS (SELECT query_id, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS r FROM cs WHERE channel = 'rerank') WHERE r <= 5), rl AS (SELECT query_id, count(*) AS relevant FROM gd GROUP BY 1),
+al AS ({' UNION ALL '.join(one)}), hp AS (SELECT config, query_id, count(*) FILTER (rank <= 10) AS found, sum(1 / log2(rank + 1.0)) FILTER (rank <= 10) AS dcg, min(rank) AS first FROM al JOIN gd USING (query_id, chunk_id) GROUP BY 1, 2),
+pe AS (SELECT c.config, rl.query_id, relevant, coalesce(found, 0) AS found, coalesce(dcg, 0) AS dcg, first FROM rl CROSS JOIN (SELECT DISTINCT config FROM al) c LEFT JOIN hp ON hp.config = c.config AND hp.query_id = rl.query_id),
+ms AS (SELECT config, query_id, round(CASE WHEN relevant > 0 AND found > 0 THEN 2 * (found / 10.0) * (found / least(relevant, 10)) / (found / 10.0 + found / least(relevant, 10)) ELSE 0 END, 6) AS f1, round(CASE WHEN relevant > 0 THEN 2 * (least(relevant, 10) / 10.0) / (least(relevant, 10) / 10.0 + 1) ELSE 0 END, 6) AS ceiling,
+ round(dcg / list_sum(list_transform(range(1, least(relevant, 10) + 1), lambda i: 1 / log2(i + 1.0))), 6) AS ndcg, round(coalesce(1.0 / first, 0), 6) AS rr FROM pe),
+sw AS (SELECT config, round(avg(f1), 6) AS f1, round(avg(ceiling), 6) AS ceiling, round(avg(ndcg), 6) AS ndcg, round(avg(rr), 6) AS rr, count(*) AS queries FROM ms GROUP BY 1)"""
+
+
+@query(f"WITH {_sweep_sql()} SELECT * FROM sw")
 def q_sweep(spark, base):
     """Two grids of fusion settings over channels ranked once; hits are the re-ranker's first five."""
     ch = channels(spark, base)
@@ -540,7 +690,7 @@ def q_sweep(spark, base):
     return evaluate.sweep(runs, hits, n)
 
 
-@query()
+@query(f"WITH {_sweep_sql()} SELECT grid, config, rr FROM (SELECT *, string_split(config, '/')[1] AS grid, row_number() OVER (PARTITION BY string_split(config, '/')[1] ORDER BY rr DESC, ndcg DESC, config) AS r FROM sw) WHERE r = 1")
 def q_sweep_best(spark, base):
     return evaluate.best_config(q_sweep(spark, base))
 
@@ -570,21 +720,13 @@ def q_json_get(spark, base):
     return table(spark, base, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("""SELECT doc_id, concat_ws(chr(10) || chr(10), nullif(trim(title), ''), nullif(trim(text), '')) AS body FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '[\\x00-\\x1F]')""")
+@query("SELECT doc_id, concat_ws(chr(10) || chr(10), nullif(trim(title, ' '), ''), nullif(trim(text, ' '), '')) AS body FROM documents")
 def q_json_fields(spark, base):
-    d = docs(spark, base, "title", "text").where(r"text is null or not text rlike '[\\x00-\\x1F]'")
-    raw = F.to_json(F.struct("title", "text", F.col("text").alias("texto")))
-    return d.select("doc_id", sources.json_fields(raw).alias("body"))
-
-
-@query()
-def q_json_fields_all(spark, base):
-    """Every text, also those with line feeds and control characters."""
     raw = F.to_json(F.struct("title", "text", F.col("text").alias("texto")))
     return docs(spark, base, "title", "text").select("doc_id", sources.json_fields(raw).alias("body"))
 
 
-@query()
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS path, CAST(length(coalesce({_clean_sql('body')}, '')) AS INTEGER) AS n_chars, coalesce(trim(title), '') AS title FROM (SELECT doc_id, title, concat_ws(chr(10) || chr(10), nullif(trim(title), ''), nullif(text, '')) AS body FROM documents)")
 def q_json_documents(spark, base):
     d = docs(spark, base, "title", "text")
     raw = d.select(F.col("doc_id").cast("string").alias("path"), F.to_json(F.struct("title", F.array("text").alias("paragraphs"))).alias("value"))
@@ -597,10 +739,11 @@ def q_rows_to_text(spark, base):
     return sources.rows_to_text(c, ["c_custkey"])
 
 
-@query("""SELECT l_partkey, line FROM (SELECT l_partkey, 'l_partkey: ' || l_partkey || ' | l_returnflag: ' || l_returnflag || '.' AS line, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS r FROM lineitem) WHERE r = 1""")
+@query("""SELECT l_orderkey, l_linenumber, 'l_partkey: ' || l_partkey || ' | l_orderkey: ' || l_orderkey || ' | l_linenumber: ' || l_linenumber || ' | l_returnflag: ' || l_returnflag || '.' AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS r FROM lineitem) WHERE r = 1""")
 def q_rows_deduped(spark, base):
-    li = table(spark, base, "lineitem").withColumn("_r", F.row_number().over(W.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber"))).where("_r = 1")
-    return sources.rows_to_text(li.select("l_partkey", "l_returnflag"), ["l_partkey"])
+    li = table(spark, base, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_returnflag")
+    return sources.rows_to_text(li, ["l_orderkey", "l_linenumber"], "l_partkey")
 
 
 @query("""SELECT chunk_id, last_value(nullif(trim(titulo), '') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY posicion, chunk_id ROWS UNBOUNDED PRECEDING) AS titulo
@@ -629,7 +772,7 @@ def q_boilerplate(spark, base):
     return sources.boilerplate_free(p, 0.1).select("page", "text")
 
 
-@query()
+@query(f"SELECT doc_id, {_clean_sql("coalesce(title, '') || chr(10) || chr(10) || chr(10) || text")} AS text FROM documents WHERE text IS NOT NULL")
 def q_html_extract(spark, base):
     d = docs(spark, base, "title", "text").where("text is not null")
     page = F.concat(F.lit("<html><head><title>"), F.coalesce("title", F.lit("")), F.lit("</title><script>var a=1;</script></head><body><nav>x</nav><p>"), F.regexp_replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), "\n\n", "</p><p>"), F.lit("</p></body></html>"))
@@ -639,14 +782,18 @@ def q_html_extract(spark, base):
 # ---- planning --------------------------------------------------------------
 
 
+#: Name patterns for the query.
+EXCLUDED = ("*catalogo*.json", "*tiles-index.json", "*pubmed-*.csv", "*.pbf", "*reporte final*.pdf")
+
+
 def _glob_sql(c: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches(lower({c}), '{inventory.glob_regex(p)}') THEN '{p}'" for p in inventory.EXCLUDED) + " ELSE '' END"
+    return "CASE " + " ".join(f"WHEN regexp_matches(lower({c}), '{inventory.glob_regex(p)}') THEN '{p}'" for p in EXCLUDED) + " ELSE '' END"
 
 
 @query(f"SELECT p AS path, {_glob_sql('n')} AS pattern FROM (SELECT DISTINCT p, string_split(replace(p, chr(92), '/'), '/')[-1] AS n FROM (SELECT unnest([path, 'a/catalogo_x.JSON', 'b/x.pbf', 'c/PubMed-1.csv']) AS p FROM inventory) WHERE p IS NOT NULL)")
 def q_exclude(spark, base):
     p = table(spark, base, "inventory").select(F.explode(F.array("path", F.lit("a/catalogo_x.JSON"), F.lit("b/x.pbf"), F.lit("c/PubMed-1.csv"))).alias("path")).where("path is not null").distinct()
-    return p.select("path", inventory.excluded_by(F.col("path")).alias("pattern"))
+    return p.select("path", inventory.excluded_by(F.col("path"), EXCLUDED).alias("pattern"))
 
 
 @query("""WITH f AS (SELECT DISTINCT 'x/informe_' || doc_id || unnest(CASE doc_id % 3 WHEN 0 THEN ['-spa', '-chi', '_rus'] WHEN 1 THEN ['-chi', '-rus'] ELSE ['eng', '-por', '-fra'] END) || '.pdf' AS path, doc_id FROM documents)
@@ -709,13 +856,38 @@ def q_inventory_join(spark, base):
     return inventory.with_inventory(f, table(spark, base, "inventory"))
 
 
-@query("SELECT DISTINCT path, 'eng+spa' AS languages, 'en,es' AS codes FROM (SELECT path FROM inventory WHERE path IS NOT NULL)")
+#: Recognition languages by parts of paths, for the query.
+ROUTES = (("Instituto_", "spa"), ("Observatorio_", "spa+eng"), ("Centro_", "por"), ("Red_", "spa+por"), ("/pdfs/", "fra+rus"), ("Mirador_", "eng+spa"))
+_CODES = {"spa": "es", "spa+eng": "es,en", "por": "pt", "spa+por": "es,pt", "fra+rus": "fr", "eng+spa": "en,es"}
+
+
+@query(f"""SELECT path, languages, CASE languages {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _CODES.items())} END AS codes FROM (
+ SELECT DISTINCT path, CASE {' '.join(f"WHEN contains(path, '{k}') THEN '{v}'" for k, v in ROUTES)} ELSE 'eng+spa' END AS languages FROM inventory WHERE path IS NOT NULL)""")
 def q_language_route(spark, base):
     p = table(spark, base, "inventory").where("path is not null").select("path").distinct()
-    lang = inventory.language_for(F.col("path"))
+    lang = inventory.language_for(F.col("path"), ROUTES)
     return p.select("path", lang.alias("languages"), F.array_join(inventory.two_letter_codes(lang), ",").alias("codes"))
 
 
+@query("SELECT path, CASE WHEN doc_id IS NULL OR pick THEN printf('DOC-%05d', row_number() OVER (ORDER BY path) - 1) ELSE doc_id END AS doc_id FROM (SELECT path, min(doc_id) AS doc_id, length(path) % 3 = 0 AS pick FROM inventory WHERE path IS NOT NULL GROUP BY path)")
+def q_fallback_ids(spark, base):
+    f = table(spark, base, "inventory").where("path is not null").groupBy("path").agg(F.min("doc_id").alias("doc_id"))
+    return inventory.fallback_ids(f.withColumn("doc_id", F.when(F.length("path") % 3 != 0, F.col("doc_id"))))
+
+
+@query(f"WITH {PR} SELECT f.path, klass, pages FROM (SELECT path FROM kl UNION ALL SELECT 'z/' || path FROM kl) f LEFT JOIN kl USING (path)")
+def q_profile_join(spark, base):
+    p = _profiles(spark, base)
+    files = p.select("path").unionByName(p.select(F.concat(F.lit("z/"), "path").alias("path")))
+    return inventory.with_profiles(files, p).select("path", "klass", "pages")
+
+
+@query(f"WITH {PR} SELECT path FROM kl WHERE two_up")
+def q_routed_files(spark, base):
+    p = _profiles(spark, base)
+    return inventory.routed_files(p.select("path"), p.where("two_up").select(F.concat(F.lit("./"), F.upper("path")).alias("path")))
+
+
 @query("""SELECT folder, path, place FROM (SELECT *, row_number() OVER (ORDER BY turn, folder) AS place FROM (SELECT source AS folder, CAST(doc_id AS VARCHAR) AS path, row_number() OVER (PARTITION BY source ORDER BY CAST(doc_id AS VARCHAR)) AS turn FROM documents)) WHERE place <= 50""")
 def q_round_robin(spark, base):
     f = docs(spark, base, "source").select(F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("path"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import diversify, fusion
+from ..operators import diversify, fusion, graph, lexical
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,7 @@ class Settings:
     dedupe_threshold: float = 0.45
     dedupe_window: int = 200
     mmr_lambda: float = 1.0
+    rm3: bool = False
     doc_mode: str = "rankdecay"
     doc_decay: float = 0.85
     doc_pool: int = 30
@@ -50,7 +52,7 @@ def retrieve(channels: DataFrame, chunks: DataFrame, s: Settings = PRESETS["code
     """channels(query_id, channel, chunk_id, score), chunks(chunk_id, doc_id,
     phenomenon, text), ce_scores(query_id, chunk_id, ce_score) -> candidates,
     unique, documents and fragments.  Branches that a setting turns off are not
-    part of the plan; texts are joined to the head only."""
+    part of the plan.  Only the head is folded; the tail keeps its order behind it."""
     meta = chunks.select("chunk_id", "doc_id", "phenomenon")
     fused = fuse(channels, s).where(F.col("rank") <= s.depth)
     boosted = fused.join(meta, "chunk_id").withColumn("expected", fusion.expected_phenomenon(F.col("query_id")))
@@ -58,9 +60,28 @@ def retrieve(channels: DataFrame, chunks: DataFrame, s: Settings = PRESETS["code
     if ce_scores is not None and s.rerank_depth > 0:
         ranked = fusion.rerank(ranked.join(ce_scores, ["query_id", "chunk_id"], "left"), s.rerank_depth, s.rerank_blend)
     docs = fusion.documents(ranked.join(meta.select("chunk_id", "doc_id"), "chunk_id"), s.doc_mode, s.n_docs, s.doc_pool, s.doc_top_m, s.doc_bonus, s.doc_cap, s.doc_decay)
-    head = ranked.where(F.col("rank") <= s.dedupe_window).join(chunks.select("chunk_id", "doc_id", "text"), "chunk_id")
-    unique = diversify.deduplicate(head, s.dedupe_threshold, window=s.dedupe_window)
+    texts = ranked.join(chunks.select("chunk_id", "doc_id", "text"), "chunk_id")  # at most ``depth`` rows a query
+    unique = diversify.deduplicate(texts, s.dedupe_threshold, window=s.dedupe_window)
     if s.mmr_lambda < 1:
         unique = diversify.mmr(unique.drop("rank").withColumnRenamed("place", "rank"), s.mmr_lambda)
     frags = diversify.fragments(unique, s.n_fragments).join(meta.select("chunk_id", "doc_id"), "chunk_id")
     return {"candidates": ranked, "unique": unique, "documents": docs, "fragments": frags}
+
+
+def search(chunks: DataFrame, queries: DataFrame, s: Settings = PRESETS["code_default"], dense: DataFrame | None = None, names: DataFrame | None = None, node_chunks: DataFrame | None = None, edge_rows: DataFrame | None = None, ce_scores: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Retrieval from texts to results for all queries(query_id, query) at once:
+    BM25 over chunks(chunk_id, doc_id, phenomenon, text), once more with the
+    feedback's terms if ``rm3`` asks for them, the graph channel from entity
+    ``names``, node_chunks and edges, and dense rankings(query_id, channel,
+    chunk_id, score); then ``retrieve``.  A channel that is not given, or weighs
+    nothing, is not part of the plan."""
+    index = lexical.Index(chunks.select("chunk_id", "text"), queries)
+    out = []
+    if s.weights.get("bm25", 1.0) > 0:
+        out.append(index.bm25(s.depth, terms=index.expanded() if s.rm3 else None).select("query_id", F.lit("bm25").alias("channel"), "chunk_id", "score"))
+    if names is not None and s.weights.get("grafo", 1.0) > 0:
+        g = graph.graph_search(graph.link(queries, names), node_chunks, edge_rows, s.depth)
+        out.append(g.select("query_id", F.lit("grafo").alias("channel"), "chunk_id", "score"))
+    if dense is not None:
+        out.append(dense.select("query_id", "channel", "chunk_id", "score"))
+    return retrieve(reduce(DataFrame.unionByName, out), chunks, s, ce_scores)

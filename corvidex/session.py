@@ -52,6 +52,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{d}"
 
 
+_WRITTEN: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables this process has written to the shared folder, once no
+    result that was made from them is needed any more; gives their number."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += p.getFileSystem(conf).delete(p, True)
+    return n
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage by writing a table to the shared folder and reading it back.
 
@@ -60,5 +74,6 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -85,37 +85,57 @@ def html_exact(pages: pd.Series) -> pd.Series:
     return pages.map(one)
 
 
+def leaves(value) -> Iterator[str]:
+    """The strings of nested lists and objects, in order, blank ones left out."""
+    todo = [value]
+    while todo:
+        v = todo.pop()
+        if isinstance(v, str):
+            if v.strip():
+                yield v
+        elif isinstance(v, dict):
+            todo.extend(reversed(list(v.values())))
+        elif isinstance(v, list):
+            todo.extend(reversed(v))
+
+
 def flatten(value) -> str:
-    """Strings of nested lists and objects in order, as paragraphs."""
-    if isinstance(value, str):
-        return value
-    items = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
-    return "\n\n".join(flatten(v) for v in items if v)
-
-
-def alert_text(data: dict) -> tuple[str, str] | None:
-    """Text and title of the alert schema."""
-    meta = data.get("alerta_meta")
-    if not isinstance(meta, dict):
-        return None
-    value = {k: str(meta.get(k, "")).strip() for k, _ in ALERT_LABELS}
-    head = ". ".join(f"{label}: {value[k]}" for k, label in ALERT_LABELS if value[k])
-    title = " — ".join(p for p in (f"Alerta {value['codigo']}" if value["codigo"] else "", value["municipios"]) if p)
-    return "\n\n".join(p for p in (head, flatten(data.get("body_paragraphs") or []).strip()) if p), title
-
-
-def sections_text(data: dict) -> tuple[str, str] | None:
-    """Text of the sectioned schema: heading and paragraphs of each section."""
-    rows = data.get("sections")
-    if not isinstance(rows, list):
-        return None
-    parts = []
-    for r in rows:
-        if isinstance(r, dict):
-            body = flatten(r.get("paragraphs") or []).strip()
-            head = str(r.get("heading", "")).strip()
-            parts += [f"{head}. {body}" if head else body] if body else []
-    return ("\n\n".join(parts), "") if parts else None
+    """Strings of nested lists and objects as paragraphs."""
+    return "\n\n".join(leaves(value))
+
+
+class Shape:
+    """A special schema as a list of fields: ``root`` holds an object (or a list of
+    them), ``labels`` are its scalar fields with what is written before them,
+    ``body`` the field of nested text beside or inside it."""
+
+    def __init__(self, root: str, kind: type, labels: tuple[tuple[str, str], ...], body: str, inside: bool, joint: str, title: tuple[str, ...] = ()):
+        self.root, self.kind, self.labels, self.body, self.inside, self.joint, self.title = root, kind, labels, body, inside, joint, title
+
+    def read(self, data: dict) -> tuple[str, str] | None:
+        """Text and title, None if the document has another shape or nothing in it."""
+        held = data.get(self.root)
+        if not isinstance(held, self.kind):
+            return None
+        paragraphs: list[str] = []
+        for record in held if self.kind is list else [held]:
+            if not isinstance(record, dict):
+                continue
+            said = {k: str(record.get(k, "")).strip() for k, _ in self.labels}
+            head = ". ".join(f"{label}{said[k]}" for k, label in self.labels if said[k])
+            body = flatten((record if self.inside else data).get(self.body) or []).strip()
+            if body or not self.inside:
+                paragraphs.append(self.joint.join(x for x in (head, body) if x))
+        labels = dict(self.labels)
+        title = " — ".join(f"{labels[k].rstrip(': ')} {said[k]}" if n == 0 else said[k] for n, k in enumerate(self.title) if said[k]) if self.title else ""
+        text = "\n\n".join(x for x in paragraphs if x)
+        return (text, title) if text or not self.inside else None
+
+
+SHAPES = (
+    Shape("alerta_meta", dict, tuple((k, f"{label}: ") for k, label in ALERT_LABELS), "body_paragraphs", False, "\n\n", ("codigo", "municipios")),
+    Shape("sections", list, (("heading", ""),), "paragraphs", True, ". "),
+)
 
 
 def json_document(raw: str | None) -> tuple[str, str, dict[str, str]]:
@@ -126,8 +146,8 @@ def json_document(raw: str | None) -> tuple[str, str, dict[str, str]]:
     except ValueError:
         return "", "", {}
     data = {"items": data} if isinstance(data, list) else data if isinstance(data, dict) else {"text": data}
-    for special in (alert_text, sections_text):
-        got = special(data)
+    for shape in SHAPES:
+        got = shape.read(data)
         if got and len(got[0].split()) >= DEFAULT_MIN_WORDS:
             return got[0], got[1], {}
     found = {k: flatten(data[k]).strip() for k in (*HEAD_FIELDS, *BODY_FIELDS) if data.get(k)}

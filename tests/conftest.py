@@ -9,10 +9,11 @@ DATA = os.environ.get("CORVIDEX_TESTDATA", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from corvidex.session import local_session
+    from corvidex.session import clear, local_session
 
     s = local_session(4, "tests", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
     yield s
+    clear(s)
     s.stop()
 
 

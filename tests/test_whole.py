@@ -38,21 +38,21 @@ def cleaned(t):
 
 
 def test_clean_reads_every_text(spark, tables):
-    assert dict(got(spark, tables, "q_clean_all")) == {i: t if t is None else cleaned(t) for i, t in TEXTS.items()}
+    assert dict(got(spark, tables, "q_clean")) == {i: t if t is None else cleaned(t) for i, t in TEXTS.items()}
 
 
 def test_json_fields_read_every_text(spark, tables):
     want = {i: "\n\n".join(p for p in ((f"título {i}" if i % 2 else ""), (t or "").strip(" ")) if p) for i, t in TEXTS.items()}
-    assert dict(got(spark, tables, "q_json_fields_all")) == want
+    assert dict(got(spark, tables, "q_json_fields")) == want
 
 
 def test_names_of_every_script(spark, tables):
     want = {(n, re.sub(r"[_\-\s]+", "", n.lower()), re.sub(r"[_\s]+", "-", n.strip().lower())) for n in NAMES if n}
-    rows = got(spark, tables, "q_norm_names_all")
+    rows = got(spark, tables, "q_norm_names")
     assert set(rows) == want and len(rows) == len(want)
 
 
 def test_relations_of_whole_texts(spark, tables):
-    rows = sorted(r for r in got(spark, tables, "q_graph_relation_type_all") if r[0] == 5)
+    rows = sorted(r for r in got(spark, tables, "q_graph_relations_between") if r[0] == 5)
     # Grupo Norte .. Puerto Viejo is too far apart; then ". La empresa ", " financia a ", ", y luego ", " firma con "
     assert [r[2] for r in rows] == [None, "coocurre_con", "financia", "coocurre_con", "acuerda_con"]
