@@ -272,3 +272,85 @@ def heading_trail(items: DataFrame) -> DataFrame:
 
     t = dict(items.dtypes)
     return by_page(items, ("level", "label", "text"), fold, f"doc_id {t['doc_id']}, seq {t['seq']}, kind string, text string, heading_path array<string>", ("doc_id",))
+
+
+# ---- from spans to units -------------------------------------------------------
+
+
+def text_blocks(blocks: DataFrame, least: int = 2) -> DataFrame:
+    """Blocks that hold text of ``least`` characters or more; other kinds and blanks are left out."""
+    kind = F.coalesce("kind", F.lit("text")) == "text" if "kind" in blocks.columns else F.lit(True)
+    return blocks.where(kind & (F.length(F.trim("text")) >= least))
+
+
+def document_profile(pages: DataFrame) -> DataFrame:
+    """(doc_id, pages, multicolumn, max_columns, usual_columns) of page_columns' pages(doc_id, page, columns)."""
+    return pages.groupBy("doc_id").agg(
+        F.count("*").alias("pages"),
+        F.count_if(F.col("columns") > 1).alias("multicolumn"),
+        F.max("columns").alias("max_columns"),
+        F.mode("columns", True).alias("usual_columns"),
+    )
+
+
+# Fixed values of the page parser, in parts of the body size (the length in characters).
+LINE_HEIGHT, RUN_GAP, HEADING_SIZE, CAPTION_SIZE, HEADING_CHARS = 0.6, 3.0, 1.12, 0.86, 120
+WRAP_SIZE, WRAP_GAP = 0.6, 1.2
+
+
+def visual_lines(spans: DataFrame) -> DataFrame:
+    """spans(doc_id, page, seq, x0, y0, x1, y1, text, size, bold, horizontal, width,
+    height) -> lines with their box, text, median size, ``bold`` and ``base``, the
+    body size of the page.  Rotated spans are left out.  A line is a run of spans
+    in one band of height that no wide gap parts: windows and one aggregate."""
+    base = body_font(spans).select(*PAGE, F.col("body_size").alias("base"))
+    x = spans.where(F.coalesce("horizontal", F.lit(True))).join(base, list(PAGE))
+    x = x.withColumn("band", F.round(F.col("y0") / F.greatest(F.col("base") * LINE_HEIGHT, F.lit(1.0))))
+    w = W.partitionBy(*PAGE, "band").orderBy("x0", "seq")
+    x = x.withColumn("apart", F.coalesce(F.col("x0") - F.lag("x1").over(w) > RUN_GAP * F.col("base"), F.lit(False)).cast("int"))
+    x = x.withColumn("run", F.sum("apart").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "seq", "text"))), lambda s: s["text"]), " ")
+    return x.groupBy(*PAGE, "band", "run").agg(
+        F.min("seq").alias("seq"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), said.alias("text"),
+        F.median("size").alias("size"), F.bool_or(F.coalesce("bold", F.lit(False))).alias("bold"), F.first("base").alias("base"), F.max("width").alias("width"), F.max("height").alias("height"),
+    ).drop("band", "run")
+
+
+def line_kind() -> Column:
+    """heading, caption or body, by size against the page's body size."""
+    size, base = F.col("size"), F.col("base")
+    heading = ((size >= base * HEADING_SIZE) | (F.col("bold") & (size >= base))) & (F.length("text") < HEADING_CHARS)
+    return F.when(heading, "heading").when((size <= base * CAPTION_SIZE) & ~F.col("bold"), "caption").otherwise("body")
+
+
+def page_units(spans: DataFrame) -> DataFrame:
+    """(doc_id, seq, page, kind, text, heading_path): headings, captions and
+    paragraphs of a document in reading order, each with the headings above it.
+
+    Lines come from ``visual_lines`` and their order from ``reading_order``; units
+    are gaps and islands over them (a wrapped heading is one unit, a caption each
+    its own, body lines in a row a paragraph, none across pages).  Only the trail
+    of headings, which runs through the document, is a fold."""
+    lines = visual_lines(spans)
+    order = reading_order(lines).select(*PAGE, "seq", "place")
+    x = lines.join(order, [*PAGE, "seq"]).withColumn("kind", line_kind())
+    w = W.partitionBy(*PAGE).orderBy("place")
+    same = F.lag("kind").over(w) == F.col("kind")
+    wrapped = (F.abs(F.lag("size").over(w) - F.col("size")) < WRAP_SIZE) & (F.col("y0") - F.lag("y1").over(w) < WRAP_GAP * F.col("size"))
+    goes_on = same & ((F.col("kind") == "body") | ((F.col("kind") == "heading") & wrapped))
+    x = x.withColumn("new", (~F.coalesce(goes_on, F.lit(False))).cast("int")).withColumn("unit", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda s: s["text"]), " ")
+    units = x.groupBy("doc_id", "page", "unit", "kind").agg(said.alias("text"), F.min_by("size", "place").alias("size"))
+    units = units.withColumn("seq", F.row_number().over(W.partitionBy("doc_id").orderBy("page", "unit")))
+
+    def fold(key, rows):
+        trail: list[tuple[float, str]] = []
+        for r in rows:
+            if r["kind"] == "heading":
+                trail = [h for h in trail if h[0] > r["size"]]
+            yield (*key, r["seq"], r["page"], r["kind"], r["text"], [h for _, h in trail])
+            if r["kind"] == "heading":
+                trail.append((r["size"], r["text"]))
+
+    t = dict(units.dtypes)
+    return by_page(units, ("page", "kind", "text", "size"), fold, f"doc_id {t['doc_id']}, seq int, page {t['page']}, kind string, text string, heading_path array<string>", ("doc_id",))

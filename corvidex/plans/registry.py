@@ -1055,6 +1055,34 @@ def q_stat_number(spark, base):
     return table(spark, base, "lineitem").select(F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("seq"), T.is_stat_number(t).alias("stat"))
 
 
+_SPANS = f"""{BK}, sp AS (SELECT *, CASE l WHEN 1 THEN 16.0 WHEN 3 THEN 8.0 ELSE 10.0 END AS size, page % 5 <> 0 OR l <> 2 AS horizontal FROM (SELECT *, seq // 1000000 AS l FROM bk)),
+bf AS (SELECT doc_id, page, size AS base FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY chars DESC, size) AS r FROM (SELECT doc_id, page, size, sum(length(text)) AS chars FROM sp GROUP BY 1, 2, 3)) WHERE r = 1),
+ba AS (SELECT sp.*, base, round(y0 / greatest(base * 0.6, 1)) AS band FROM sp JOIN bf USING (doc_id, page) WHERE horizontal),
+ru AS (SELECT *, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page, band ORDER BY x0, seq ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, x0 - lag(x1) OVER (PARTITION BY doc_id, page, band ORDER BY x0, seq) > 3 * base AS apart FROM ba))"""
+
+
+def _spans(spark, base):
+    no = F.floor(F.col("seq") / 1000000)
+    b = _blocks(spark, base)
+    return b.withColumn("size", F.when(no == 1, 16.0).when(no == 3, 8.0).otherwise(10.0)).withColumn("bold", F.lit(False)).withColumn("horizontal", (F.col("page") % 5 != 0) | (no != 2))
+
+
+@query(f"""WITH {_SPANS} SELECT doc_id, page, seq, text, CASE WHEN size >= base * 1.12 AND length(text) < 120 THEN 'heading' WHEN size <= base * 0.86 THEN 'caption' ELSE 'body' END AS kind
+FROM (SELECT doc_id, page, min(seq) AS seq, string_agg(text, ' ' ORDER BY x0, seq) AS text, median(size) AS size, any_value(base) AS base FROM ru GROUP BY doc_id, page, band, run)""")
+def q_visual_lines(spark, base):
+    return layout.visual_lines(_spans(spark, base)).select("doc_id", "page", "seq", "text", layout.line_kind().alias("kind"))
+
+
+@query()
+def q_page_units(spark, base):
+    return layout.page_units(_spans(spark, base)).select("doc_id", "seq", "page", "kind", F.size("heading_path").alias("depth"))
+
+
+@query()
+def q_document_profile(spark, base):
+    return layout.document_profile(layout.page_columns(layout.text_blocks(_blocks(spark, base))))
+
+
 # ---- extras, not a capability of the reference ------------------------------
 
 
