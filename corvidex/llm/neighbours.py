@@ -20,6 +20,12 @@ the next ones; probes grow with the logarithm of the number of cells.  A pair
 that meets in any cell counts for both.  Vectors equal in all elements form one
 class first, so a vector repeated in a third of all rows is stored once.
 
+The more cells there are, the more near pairs a border between cells parts, so
+the lists so found are a beginning: a row's label is the greatest hash among the
+rows within two steps of its list, and every row is compared with all rows that
+have its own label or one of its neighbours' in common with it.  What any
+neighbour of a neighbour knows is thus found wherever the borders lie.
+
 Every row is indexed; only the centres come from samples.  Recall against brute
 force is measured in tests and in the README.  Defined cases: null, empty and
 zero vectors and such with a value that is no number take no part, nor do
@@ -49,8 +55,12 @@ REACH = 0.8
 CELL_ROWS, MAX_CENTRES, MAX_PIVOTS = 400, 1024, 1 << 16
 #: Sampled vectors a centre, and rounds of k-means over them.
 SAMPLE, REFINE = 32, 4
+#: Centres whose pivots a row is compared with, where cells are divided.
+SCANNED = 16
 #: Cells in a task.
 TASK_CELLS = 32
+#: Rows compared at once with one label or several, and of a label beyond which its rows are searched as a cell, divided beyond 4 x CELL_ROWS.
+BLOCK_ROWS = 256
 
 
 def directions(n: int, dim: int, seed: int) -> np.ndarray:
@@ -157,20 +167,33 @@ class Cells:
 
     def probed(self, m: np.ndarray) -> np.ndarray:
         """The cells each row looks in, its own first; -1 where there are fewer."""
-        at, far = nearest_centres(m, self.top, self.probes + 2 * bool(self.inside))
         if not self.inside:
-            return at[:, : self.probes]
-        cell, dist = [at.copy()], [np.where(np.isin(at, list(self.inside)), np.inf, far)]
-        for r in range(at.shape[1]):
-            one, d = np.full((len(m), self.probes), -1), np.full((len(m), self.probes), np.inf)
-            for c in np.intersect1d(at[:, r], list(self.inside)):
-                rows, s = np.flatnonzero(at[:, r] == c), self.inside[int(c)]
-                x, y = nearest_centres(m[rows], self.pivots[s], self.probes)
-                one[rows, : x.shape[1]], d[rows, : x.shape[1]] = x + s.start + len(self.top), y
-            cell.append(one), dist.append(d)
-        cells, far = np.hstack(cell), np.hstack(dist)
-        o = np.argsort(far, axis=1, kind="stable")[:, : self.probes]
-        return np.where(np.isinf(np.take_along_axis(far, o, 1)), -1, np.take_along_axis(cells, o, 1))
+            return nearest_centres(m, self.top, self.probes)[0]
+        at, far = nearest_centres(m, self.top, max(SCANNED, self.probes))
+        wide = at.shape[1]
+        cells, dist = np.full((at.size, self.probes), -1), np.full((at.size, self.probes), np.inf)
+        cells[:, 0], dist[:, 0] = at.ravel(), far.ravel()
+        order = np.argsort(at, axis=None, kind="stable")
+        which, starts = np.unique(at.ravel()[order], return_index=True)
+        for c, some in zip(which.tolist(), np.split(order, starts[1:])):
+            if c in self.inside:
+                s = self.inside[c]
+                x, y = nearest_centres(m[some // wide], self.pivots[s], self.probes)
+                cells[some, : x.shape[1]], dist[some, : x.shape[1]] = x + s.start + len(self.top), y
+        cells, dist = cells.reshape(len(m), -1), dist.reshape(len(m), -1)
+        o = np.argpartition(dist, self.probes - 1, axis=1)[:, : self.probes]
+        o = np.take_along_axis(o, np.argsort(np.take_along_axis(dist, o, 1), axis=1, kind="stable"), 1)
+        return np.where(np.isinf(np.take_along_axis(dist, o, 1)), -1, np.take_along_axis(cells, o, 1))
+
+
+def packed(m: np.ndarray, rows: np.ndarray | slice = slice(None)) -> pa.Array:
+    """Rows of m as binary in half precision."""
+    half = np.ascontiguousarray(m.astype(np.float16)[rows])
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.shape[1] * 2), len(half), [None, pa.py_buffer(half)]).cast(pa.binary())
+
+
+def unpacked(vec: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(vec.to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
 
 
 def assign(v: DataFrame, dim: int, cells: Cells) -> DataFrame:
@@ -187,9 +210,7 @@ def assign(v: DataFrame, dim: int, cells: Cells) -> DataFrame:
                 continue
             at = sent.value.probed(m)
             who, place = np.nonzero(at >= 0)
-            half = np.ascontiguousarray(m.astype(np.float16)[who])
-            vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(dim * 2), len(who), [None, pa.py_buffer(half)]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(at[who, place].astype(np.int32)), pa.array(place == 0), pa.array(ids[who]), vec], names=["cell", "home", "id", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(at[who, place].astype(np.int32)), pa.array(place == 0), pa.array(ids[who]), packed(m, who)], names=["cell", "home", "id", "vec"])
 
     return v.select("id", "embedding").mapInArrow(run, "cell int, home boolean, id bigint, vec binary")
 
@@ -302,15 +323,84 @@ def nearest(vectors: DataFrame, k: int = K) -> DataFrame:
 
     def run(batches: pa.Table) -> pa.Table:
         t = batches.combine_chunks()
-        m = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
+        m = unpacked(t.column("vec"), dim)
         q, x, s = search_cell(t.column("id").to_numpy(), np.array(t.column("home").to_pylist(), bool), m, 50_000 + t.column("cell")[0].as_py(), k)
         return pa.table({"id": pa.array(q, pa.int64()), "neighbour": pa.array(x, pa.int64()), "score": pa.array(s.astype(np.float32), pa.float32())})
 
     # tasks grow in number with the cells, not in size
     parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-cells.count // TASK_CELLS))
     found = assign(vectors, dim, cells).repartition(parts, "cell").groupBy("cell").applyInArrow(run, "id bigint, neighbour bigint, score float").repartition(parts, "id")
+    lists = materialise(ranked(found, k).drop("rank"), "lists")
+    return ranked(lists.unionByName(regrouped(vectors, lists, dim, k, parts)), k)
+
+
+def ranked(pairs: DataFrame, k: int) -> DataFrame:
+    """(id, neighbour, score, rank): the k best of (id, neighbour, score), ties to the smaller neighbour."""
     w = W.partitionBy("id").orderBy(F.desc(F.round("score", 4)), "neighbour")
-    return found.groupBy("id", "neighbour").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return pairs.groupBy("id", "neighbour").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def within(label: np.ndarray, ids: np.ndarray, m: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, neighbour, cosine): the k best of each row among those of its label.  Rows
+    are sorted by label and id.  Small groups are compared whole, several at once."""
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))]
+    ends = np.flatnonzero(np.diff(label, append=label[-1:] + 1)) + 1
+    start, g = 0, 0
+    while start < len(label):
+        g = max(int(np.searchsorted(ends, start + BLOCK_ROWS, side="right")), g + 1)
+        rows = slice(start, int(ends[g - 1]))
+        start, (l, i, x) = rows.stop, (label[rows], ids[rows], m[rows])
+        if len(i) > 4 * CELL_ROWS:
+            centres = x[:: CELL_ROWS]
+            at = nearest_centres(x, centres, 4)[0]
+            for c in range(len(centres)):
+                r, place = np.nonzero(at == c)
+                out.append(search_cell(i[r], place == 0, x[r], c, k))
+        elif len(i) > BLOCK_ROWS:
+            out.append(search_cell(i, np.ones(len(i), bool), x, 0, k))
+        else:
+            cos = x @ x.T
+            mates = l[:, None] == l[None, :]
+            np.fill_diagonal(mates, False)
+            q, n = most(np.where(mates, np.rint(cos * np.float32(1e4)).astype(np.int32) * np.int32(len(i)) - np.arange(len(i), dtype=np.int32)[None, :], np.iinfo(np.int32).min), k, np.iinfo(np.int32).min)
+            out.append((i[q], i[n], cos[q, n]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def regrouped(vectors: DataFrame, lists: DataFrame, dim: int, k: int, parts: int) -> DataFrame:
+    """(id, neighbour, score) among rows that share a label, see above.  A vector is
+    exchanged once to meet its labels and once for each, of which near rows share most."""
+    edges = lists.select("id", "neighbour").unionByName(lists.select("id", F.col("id").alias("neighbour")).distinct())
+    label = edges.groupBy("id").agg(F.max(F.xxhash64("neighbour")).alias("label"))
+    label = edges.join(label.withColumnRenamed("id", "neighbour"), "neighbour").groupBy("id").agg(F.max("label").alias("label"))
+    labels = edges.join(label.withColumnRenamed("id", "neighbour"), "neighbour").groupBy("id").agg(F.collect_set("label").alias("labels"))
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            m, ok = matrix(b.column(1), dim)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), packed(m, ok)], names=["id", "vec"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, ids, m = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, dim), np.float32)
+
+        def pairs(rows: int) -> pa.RecordBatch:
+            q, x, s = within(label[:rows], ids[:rows], m[:rows], k)
+            keep = best(q, x, s, k)  # a row stands in several groups
+            return pa.RecordBatch.from_arrays([pa.array(q[keep]), pa.array(x[keep]), pa.array(s[keep].astype(np.float32))], names=["id", "neighbour", "score"])
+
+        for b in batches:
+            if b.num_rows:
+                label, ids, m = np.r_[label, b.column(0).to_numpy()], np.r_[ids, b.column(1).to_numpy()], np.vstack([m, unpacked(b.column(2), dim)])
+                whole = int(np.searchsorted(label, label[-1]))  # the last label may go on
+                if whole:
+                    yield pairs(whole)
+                    label, ids, m = label[whole:], ids[whole:], m[whole:]
+        if len(label):
+            yield pairs(len(label))
+
+    vec = vectors.select("id", "embedding").mapInArrow(halves, "id bigint, vec binary")
+    met = vec.join(labels, "id").select(F.explode("labels").alias("label"), "id", "vec")
+    return met.repartition(parts, "label").sortWithinPartitions("label", "id").mapInArrow(run, "id bigint, neighbour bigint, score float")
 
 
 def neighbours(vectors: DataFrame, k: int = K) -> DataFrame:

@@ -123,6 +123,32 @@ def test_p1_recall_in_a_dense_cell(spark, monkeypatch):
     assert recall(spark, v.astype(np.float32)) >= 0.9
 
 
+def test_p1_recall_over_many_divided_cells(spark, monkeypatch):
+    """Far more cells than centres and no order among the clusters, as at tens of millions of vectors."""
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 30)
+    monkeypatch.setattr(neighbours, "MAX_CENTRES", 32)
+    rng = np.random.default_rng(8)
+    c = rng.standard_normal((1000, 96))
+    v = np.repeat(c / np.linalg.norm(c, axis=1, keepdims=True), 8, axis=0) + 0.03 * rng.standard_normal((8000, 96))
+    assert recall(spark, (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)) >= 0.97
+
+
+def test_p1_large_groups_are_searched_whole():
+    """A label of more rows than a block holds, and of more than a cell."""
+    rng = np.random.default_rng(2)
+    for n in (neighbours.BLOCK_ROWS + 50, 4 * neighbours.CELL_ROWS + 100):
+        c = rng.standard_normal((n // 8 + 1, 24))
+        m = (np.repeat(c, 8, axis=0)[:n] + 0.1 * rng.standard_normal((n, 24))).astype(np.float32)
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        label = np.r_[np.zeros(10, np.int64), np.ones(n - 10, np.int64)]
+        q, x, _ = neighbours.within(label, np.arange(n), m, 5)
+        s = m @ m.T
+        s[label[:, None] != label[None, :]] = -2
+        np.fill_diagonal(s, -2)
+        true = {(i, int(j)) for i, row in enumerate(np.argsort(-s, axis=1)[:, :5]) for j in row}
+        assert len(set(zip(q.tolist(), x.tolist())) & true) / len(true) >= 0.95 and (label[q] == label[x]).all()
+
+
 def test_p1_far_neighbours(spark):
     """Vectors without close neighbours: windows widen as far as they must."""
     v = np.random.default_rng(5).standard_normal((1500, 12)).astype(np.float32)
