@@ -352,6 +352,26 @@ def test_p5_crowded_bucket_of_groups(spark):
     assert len(got) <= 4000 * (neardup.NEIGHBOURS + 2)
 
 
+def test_p5_draws_in_a_bounded_buffer():
+    """The samples are the plain minima, and drawing them needs room for a few texts, not for hundreds."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    sampler, sizes = neardup.Sampler(), rng.integers(1, 400, 600)
+    starts = np.cumsum(sizes) - sizes
+    sh = rng.integers(0, 1 << 46, sizes.sum()).astype(np.uint64)
+    row = sampler.rows(sh, rng.uniform(0.1, 8, len(sh)))
+    tracemalloc.start()
+    got = sampler.draw(sampler.a, row, sh, starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    k = sampler.a.shape[1]
+    name = ((sh >> np.uint64(34)) & np.uint64((1 << neardup.NAME_BITS) - 1)).astype(np.uint32)
+    plain = np.array([(sampler.a[row[a : a + n]] | name[a : a + n, None]).min(axis=0) for a, n in zip(starts, sizes)], np.uint64)
+    assert (got == neardup.mix64(plain + np.arange(k, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))).all()
+    assert peak < 8 << 20
+
+
 def test_runs_read_as_words():
     memo = wordhash.Runs(wordhash.Words(accents=True))
     texts = ["La casa, 2020/21 — (sí). a-b-c", "", "…", "ﬁn\u00a0Ｑ\u200b. x\ty\nz"]
