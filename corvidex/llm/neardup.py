@@ -11,7 +11,11 @@ weighted Jaccard similarity; BANDS bands of ROWS samples make the buckets.  In
 a bucket texts are ordered by one further sample, another in every band, so
 groups that share a bucket lie apart in it; every text meets its neighbours, the
 first of the bucket and the first with the same further sample, so n texts give
-O(n) candidates; buckets are range-sorted, so a large one is spread over tasks.  Candidates whose samples agree too rarely (sketches of four bits a
+O(n) candidates; buckets are range-sorted, so a large one is spread over tasks.  What
+the components of these leave open is then compared whole: in every bucket of
+several components, all pairs of texts of different ones.  So every two texts that
+share a bucket are compared or known to be of one group, whatever the bucket's
+size.  Candidates whose samples agree too rarely (sketches of four bits a
 sample) are dropped before any text is compared; the rest are verified by the similarity
 asked for (the unweighted share of common shingles), which is exact.
 
@@ -44,6 +48,8 @@ COUNTERS = 1 << 18
 PIECES = 64
 #: Neighbours in a bucket that a text meets, besides the firsts; low bits of a bucket's number that hold the further sample.
 NEIGHBOURS, REFINED = 4, 20
+#: Pairs of one bucket that a task compares (a larger bucket is divided among tasks), and at once.
+TASK_PAIRS, BLOCK_PAIRS = 1 << 28, 1 << 16
 NAME_BITS = 10
 #: Bits of a shingle's hash that are kept (a block holds fewer than 2 ** (64 - BITS) texts).
 BITS = 46
@@ -229,6 +235,21 @@ def fixed(rows: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(rows.shape[1]), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows))]).cast(pa.binary())
 
 
+def words(col: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint64).reshape(len(col), SKETCH // 8)
+
+
+def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sketches agree in AGREE weighted samples or PLAIN_AGREE unweighted ones."""
+    d = x ^ y
+    d |= d >> np.uint64(1)
+    d |= d >> np.uint64(2)
+    differ = np.bitwise_count(d & np.uint64(0x1111111111111111))
+    cut = BANDS * ROWS // 16
+    return (BANDS * ROWS - differ[..., :cut].sum(axis=-1, dtype=np.int64) >= AGREE) | (PLAIN_BANDS * PLAIN_ROWS - differ[..., cut:].sum(axis=-1, dtype=np.int64) >= PLAIN_AGREE)
+
+
 def agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs whose sketches agree in AGREE samples or more, about 50 bytes a text moved."""
     s = sketches.select("id", "sketch").dropDuplicates(["id"])
@@ -237,21 +258,24 @@ def agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, -1) for k in (2, 3))
-                d = x ^ y
-                same = ((d & 15) == 0).astype(np.uint8) + ((d >> 4) == 0)
-                cut = BANDS * ROWS // 2
-                yield b.select([0, 1]).filter(pa.array((same[:, :cut].sum(axis=1) >= AGREE) | (same[:, cut:].sum(axis=1) >= PLAIN_AGREE)))
+                yield b.select([0, 1]).filter(pa.array(agree(words(b.column(2)), words(b.column(3)))))
 
     return j.mapInArrow(run, "a bigint, b bigint")
 
 
 def candidates(bk: DataFrame) -> DataFrame:
-    """(a, b) from bk(id, bucket).  Rows are range-sorted by (bucket, id) in one
+    """The pairs of ``met``."""
+    return met(bk)[0]
+
+
+def met(bk: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((a, b), (id, bucket)) from bk(id, bucket): pairs, and the rows of the buckets in
+    which these need not be all pairs: those of more than NEIGHBOURS + 1 rows or at a
+    task's edge.  Rows are range-sorted by (bucket, id) in one
     exchange, so a bucket of any size is spread over tasks; each task reads its
     rows in order and pairs a row with the NEIGHBOURS rows of its bucket before it,
     with the first of the bucket and with the first that has the same further
-    sample.  The rows at the tasks' edges (2 x NEIGHBOURS a task) are paired
+    sample.  The rows at the tasks' edges (NEIGHBOURS + 1 at each) are paired
     across in a second, small step."""
     schema = "a bigint, b bigint, bucket bigint, part int, pos bigint"
     names = ["a", "b", "bucket", "part", "pos"]
@@ -277,6 +301,9 @@ def candidates(bk: DataFrame) -> DataFrame:
             m = len(last_id)
             group = k >> REFINED
             pairs = []
+            late = np.arange(max(NEIGHBOURS + 1, m), len(i))
+            late = late[group[late] == group[late - NEIGHBOURS - 1]]
+            crowd = np.unique((late[:, None] - np.arange(NEIGHBOURS + 2)[None, :]).ravel())
             for o in range(1, NEIGHBOURS + 1):
                 at = np.arange(max(o, m), len(i))
                 same = at[(group[at] == group[at - o]) & (i[at] != i[at - o])]
@@ -292,21 +319,74 @@ def candidates(bk: DataFrame) -> DataFrame:
                 head[shift] = (int(firsts[-1]), int(key[-1]))
             a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             yield batch(np.minimum(a, b), np.maximum(a, b))
-            if first is None:
-                first = (i[:NEIGHBOURS], k[:NEIGHBOURS])
+            if len(crowd):
+                yield batch(i[crowd], None, k[crowd], np.full(len(crowd), -1), np.zeros(len(crowd), np.int64))
+            if first is None or len(first[0]) <= NEIGHBOURS:
+                first = (i[: NEIGHBOURS + 1], k[: NEIGHBOURS + 1])  # nothing has left the rows kept yet
             seen += len(i) - m
-            last_id, last_b = i[-NEIGHBOURS:], k[-NEIGHBOURS:]
+            last_id, last_b = i[-NEIGHBOURS - 1 :], k[-NEIGHBOURS - 1 :]
         if first is not None:
             for side, (x, y) in ((0, first), (1, (last_id, last_b))):
                 yield batch(x, None, y, np.full(len(x), part), side * seen + np.arange(len(x)))
 
     ordered = bk.select("id", "bucket").repartitionByRange("bucket", "id").sortWithinPartitions("bucket", "id")
     x = materialise(ordered.mapInArrow(run, schema), "pairs_and_edges")
-    edge = x.where("part is not null").select("part", "pos", F.col("a").alias("id"), F.shiftright("bucket", REFINED).alias("bucket"))
+    rest = x.where("part is not null").select(F.col("a").alias("id"), F.shiftright("bucket", REFINED).alias("bucket")).distinct()
+    edge = x.where("part >= 0").select("part", "pos", F.col("a").alias("id"), F.shiftright("bucket", REFINED).alias("bucket"))
     w = W.orderBy("part", "pos")  # a few rows a task
     before = F.array(*[F.struct(F.lag("id", o).over(w).alias("id"), F.lag("bucket", o).over(w).alias("bucket")) for o in range(1, NEIGHBOURS + 1)])
     across = edge.select("id", "bucket", before.alias("ps")).select("id", "bucket", F.explode("ps").alias("p")).where("p.bucket = bucket and p.id <> id")
-    return x.where("part is null").select("a", "b").unionByName(across.select(F.least("p.id", "id").alias("a"), F.greatest("p.id", "id").alias("b"))).distinct()
+    return x.where("part is null").select("a", "b").unionByName(across.select(F.least("p.id", "id").alias("a"), F.greatest("p.id", "id").alias("b"))).distinct(), rest
+
+
+def left_open(rest: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b): all pairs that share a bucket of rest(id, bucket), lie in different
+    components and agree in their sketches.  The pairs of a bucket are counted by its
+    rows, those of a large one divided among tasks by the first of the two."""
+    r = rest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    several = r.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    several = several.select("bucket", F.ceil(F.col("n").cast("double") * F.col("n") / (2 * TASK_PAIRS)).cast("int").alias("parts"))
+    r = materialise(r.join(several, "bucket"), "left_open").join(sketches.select("id", "sketch").dropDuplicates(["id"]), "id")
+    mine = F.pmod(F.xxhash64("id"), F.col("parts")) == F.col("part")
+    r = r.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bucket", "part", "id", "root", mine.alias("mine"), "sketch")
+
+    def pairs(ids: np.ndarray, root: np.ndarray, own: np.ndarray, sk: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = np.flatnonzero(own)
+        step = max(1, BLOCK_PAIRS // len(ids))
+        for s in range(0, len(rows), step):
+            x = rows[s : s + step]
+            for t in range(x[0] + 1, len(ids), BLOCK_PAIRS):
+                y = np.arange(t, min(t + BLOCK_PAIRS, len(ids)))
+                p, q = np.nonzero((x[:, None] < y[None, :]) & (root[x][:, None] != root[y][None, :]))
+                keep = agree(sk[x[p]], sk[y[q]])
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[x[p[keep]]]), pa.array(ids[y[q[keep]]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def closed(to_end: bool) -> Iterator[pa.RecordBatch]:
+            """Pairs of all buckets that are known to be complete."""
+            cols = [np.concatenate(c) for c in zip(*held)]
+            bucket, part = cols[:2]
+            starts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])])
+            ends = np.r_[starts[1:], len(bucket)]
+            n = len(starts) - (not to_end)
+            for a, b in zip(starts[:n], ends[:n]):
+                yield from pairs(*(c[a:b] for c in cols[2:]))
+            held[:] = [tuple(c[starts[n] :] for c in cols)] if n < len(starts) else []
+
+        for b in batches:
+            if b.num_rows:
+                new = (b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), b.column(4).to_numpy(zero_copy_only=False).astype(bool), words(b.column(5)))
+                same = held and held[-1][0][-1] == new[0][-1] and held[-1][1][-1] == new[1][-1]
+                held.append(new)
+                if not same:
+                    yield from closed(False)
+        if held:
+            yield from closed(True)
+
+    return r.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "id").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def sets(df: DataFrame) -> DataFrame:
@@ -359,8 +439,13 @@ def groups(df: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WOR
     n = chosen.count()
     texts = df.join(small(chosen), "id", "left_semi")  # rows of a repeated id give equal samples, which pair with nothing new
     drawn = materialise(samples(texts, counts, n), "samples")
-    pairs = materialise(agreeing(candidates(drawn.select("id", F.explode("buckets").alias("bucket"))), drawn), "pairs")
-    edges = verified(pairs, texts, threshold)
+    pairs, rest = met(drawn.select("id", F.explode("buckets").alias("bucket")))
+    pairs = materialise(agreeing(pairs, drawn), "pairs")
+    roots = components(verified(pairs, texts, threshold))
+    more = materialise(left_open(rest, roots, drawn).join(pairs, ["a", "b"], "left_anti"), "pairs_left_open")
+    if more.isEmpty():
+        return member, roots
+    edges = verified(more, texts, threshold).unionByName(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))
     return member, components(edges)
 
 

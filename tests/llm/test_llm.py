@@ -352,6 +352,39 @@ def test_p5_crowded_bucket_of_groups(spark):
     assert len(got) <= 4000 * (neardup.NEIGHBOURS + 2)
 
 
+@pytest.mark.parametrize("task_pairs", [1 << 28, 500])
+def test_p5_every_pair_of_a_bucket_is_compared(spark, monkeypatch, task_pairs):
+    """Partners that share only a crowded bucket, and no place in it, are met; pairs of one component and others are not."""
+    monkeypatch.setattr(neardup, "TASK_PAIRS", task_pairs)
+    monkeypatch.setattr(neardup, "BLOCK_PAIRS", 64)
+    rng = np.random.default_rng(6)
+    n, half = 400, 200
+    sk = rng.integers(0, 256, (n, neardup.SKETCH)).astype(np.uint8)
+    sk[half:] = sk[:half]  # i and i + half are alike
+    sk[half:, 40:50] = rng.integers(0, 256, (half, 10))
+    schema = "id bigint, bucket bigint"
+    # one bucket, every further sample another; some rows in a small bucket too
+    bk = spark.createDataFrame([(i, (7 << neardup.REFINED) | (i * 2617 % 100003)) for i in range(n)] + [(i, (9 + i) << neardup.REFINED) for i in range(n)], schema)
+    sketches = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sk)], "id bigint, sketch binary")
+    pairs, rest = neardup.met(bk)
+    roots = spark.createDataFrame([(0, 0), (half, 0)], "id bigint, root bigint")
+    got = {(r.a, r.b) for r in neardup.left_open(rest, roots, sketches).collect()}
+    assert got == {(i, i + half) for i in range(1, half)}
+    assert not got <= {(r.a, r.b) for r in pairs.collect()}
+
+
+def test_p5_group_met_only_in_a_crowded_bucket(spark, monkeypatch):
+    """From texts to groups: one bucket holds all texts, and partners lie far apart in it."""
+    def one_bucket(s, bands, rows, seed):
+        return np.broadcast_to(np.uint64(5 << neardup.REFINED), (len(s), bands)).copy()
+
+    monkeypatch.setattr(neardup, "banded", one_bucket)
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(60)]
+    df = spark.createDataFrame([(i + 60 * c, " ".join(edited(rng, ws, 2))) for c in range(3) for i, ws in enumerate(base)], "id bigint, text string")
+    assert {r.id: r.group for r in neardup.classes(df).collect()} == {i: i % 60 for i in range(180)}
+
+
 def test_p5_draws_in_a_bounded_buffer():
     """The samples are the plain minima, and drawing them needs room for a few texts, not for hundreds."""
     import tracemalloc
