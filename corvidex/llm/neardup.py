@@ -241,13 +241,18 @@ def words(col: pa.Array) -> np.ndarray:
 
 
 def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether sketches agree in AGREE weighted samples or PLAIN_AGREE unweighted ones."""
-    d = x ^ y
-    d |= d >> np.uint64(1)
-    d |= d >> np.uint64(2)
-    differ = np.bitwise_count(d & np.uint64(0x1111111111111111))
+    """Whether sketches agree in AGREE weighted samples or PLAIN_AGREE unweighted ones; rows are broadcast."""
     cut = BANDS * ROWS // 16
-    return (BANDS * ROWS - differ[..., :cut].sum(axis=-1, dtype=np.int64) >= AGREE) | (PLAIN_BANDS * PLAIN_ROWS - differ[..., cut:].sum(axis=-1, dtype=np.int64) >= PLAIN_AGREE)
+    differ = []
+    for some in (range(cut), range(cut, SKETCH // 8)):
+        total = np.zeros(np.broadcast_shapes(x.shape[:-1], y.shape[:-1]), np.uint8)
+        for j in some:
+            d = x[..., j] ^ y[..., j]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            total += np.bitwise_count(d & np.uint64(0x1111111111111111))
+        differ.append(total)
+    return (differ[0] <= BANDS * ROWS - AGREE) | (differ[1] <= PLAIN_BANDS * PLAIN_ROWS - PLAIN_AGREE)
 
 
 def agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -357,10 +362,9 @@ def left_open(rest: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFra
             x = rows[s : s + step]
             for t in range(x[0] + 1, len(ids), BLOCK_PAIRS):
                 y = np.arange(t, min(t + BLOCK_PAIRS, len(ids)))
-                p, q = np.nonzero((x[:, None] < y[None, :]) & (root[x][:, None] != root[y][None, :]))
-                keep = agree(sk[x[p]], sk[y[q]])
-                if keep.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[x[p[keep]]]), pa.array(ids[y[q[keep]]])], names=["a", "b"])
+                p, q = np.nonzero(agree(sk[x][:, None], sk[y][None]) & (x[:, None] < y[None, :]) & (root[x][:, None] != root[y][None, :]))
+                if len(p):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[x[p]]), pa.array(ids[y[q]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
