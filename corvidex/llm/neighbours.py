@@ -55,8 +55,10 @@ REACH = 0.8
 CELL_ROWS, MAX_CENTRES, MAX_PIVOTS = 400, 1024, 1 << 16
 #: Sampled vectors a centre, and rounds of k-means over them.
 SAMPLE, REFINE = 32, 4
+#: Decimals of a cosine that count; beyond them the smaller id comes first.
+DECIMALS = 5
 #: Centres whose pivots a row is compared with, where cells are divided.
-SCANNED = 16
+SCANNED = 32
 #: Cells in a task.
 TASK_CELLS = 32
 #: Rows compared at once with one label or several, and of a label beyond which its rows are searched as a cell, divided beyond 4 x CELL_ROWS.
@@ -187,18 +189,21 @@ class Cells:
 
 
 def packed(m: np.ndarray, rows: np.ndarray | slice = slice(None)) -> pa.Array:
-    """Rows of m as binary in half precision."""
-    half = np.ascontiguousarray(m.astype(np.float16)[rows])
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.shape[1] * 2), len(half), [None, pa.py_buffer(half)]).cast(pa.binary())
+    """Unit rows of m as binary, two bytes an element: integers up to a row's greatest,
+    since the row's length gives the scale back."""
+    top = np.abs(m).max(axis=1, keepdims=True, initial=0)
+    whole = np.ascontiguousarray(np.rint(m * (32767 / np.where(top > 0, top, 1))).astype(np.int16)[rows])
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(m.shape[1] * 2), len(whole), [None, pa.py_buffer(whole)]).cast(pa.binary())
 
 
 def unpacked(vec: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(vec.to_pylist()), np.float16).reshape(-1, dim).astype(np.float32)
+    m = np.frombuffer(b"".join(vec.to_pylist()), np.int16).reshape(-1, dim).astype(np.float32)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
 def assign(v: DataFrame, dim: int, cells: Cells) -> DataFrame:
     """(cell, home, id, vec): each vector in its own cell and as a query in those it
-    probes.  vec is half precision, which halves what is exchanged."""
+    probes.  vec takes two bytes an element, which halves what is exchanged."""
     sent = v.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +261,7 @@ def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k:
         return out_q[0], out_x[0], out_s[0]
     arrays = Arrays(h[home])
     wide = np.int64(max(len(ids), 1))
-    kind = np.int32 if wide < 1 << 16 else np.int64
+    kind = np.int32 if wide < 1 << 14 else np.int64
     none = np.iinfo(kind).min
 
     known = np.full(len(ix), -2, np.float32)  # cosine of each stored row's k-th neighbour so far
@@ -274,7 +279,7 @@ def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k:
             own = np.flatnonzero(home[part])
             met[own, place[part[own]]] = False
             cos = m[part] @ sx.T
-            q, x = most(np.where(met, np.rint(cos * np.float32(1e4)).astype(kind) * kind(wide) - columns, none), k, none)
+            q, x = most(np.where(met, np.rint(cos * np.float32(10**DECIMALS)).astype(kind) * kind(wide) - columns, none), k, none)
             out_q.append(ids[part][q]), out_x.append(ix[x]), out_s.append(cos[q, x])
             n = np.bincount(q, minlength=len(part))
             worst = np.full(len(part), np.inf, np.float32)
@@ -307,7 +312,7 @@ def search_cell(ids: np.ndarray, home: np.ndarray, m: np.ndarray, seed: int, k:
 
 def best(q: np.ndarray, x: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best distinct (q, x) by cosine, ties to the smaller x."""
-    o = np.lexsort((x, -np.round(s, 4), q))
+    o = np.lexsort((x, -np.round(s, DECIMALS), q))
     o = o[np.r_[True, (q[o][1:] != q[o][:-1]) | (x[o][1:] != x[o][:-1])]] if len(o) else o  # a pair has one cosine, so its copies are neighbours
     first = np.r_[True, q[o][1:] != q[o][:-1]] if len(o) else np.zeros(0, bool)
     rank = np.arange(len(o)) - np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))
@@ -336,7 +341,7 @@ def nearest(vectors: DataFrame, k: int = K) -> DataFrame:
 
 def ranked(pairs: DataFrame, k: int) -> DataFrame:
     """(id, neighbour, score, rank): the k best of (id, neighbour, score), ties to the smaller neighbour."""
-    w = W.partitionBy("id").orderBy(F.desc(F.round("score", 4)), "neighbour")
+    w = W.partitionBy("id").orderBy(F.desc(F.round("score", DECIMALS)), "neighbour")
     return pairs.groupBy("id", "neighbour").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -362,7 +367,7 @@ def within(label: np.ndarray, ids: np.ndarray, m: np.ndarray, k: int) -> tuple[n
             cos = x @ x.T
             mates = l[:, None] == l[None, :]
             np.fill_diagonal(mates, False)
-            q, n = most(np.where(mates, np.rint(cos * np.float32(1e4)).astype(np.int32) * np.int32(len(i)) - np.arange(len(i), dtype=np.int32)[None, :], np.iinfo(np.int32).min), k, np.iinfo(np.int32).min)
+            q, n = most(np.where(mates, np.rint(cos * np.float32(10**DECIMALS)).astype(np.int32) * np.int32(len(i)) - np.arange(len(i), dtype=np.int32)[None, :], np.iinfo(np.int32).min), k, np.iinfo(np.int32).min)
             out.append((i[q], i[n], cos[q, n]))
     return tuple(np.concatenate(c) for c in zip(*out))
 
@@ -428,7 +433,7 @@ def neighbours(vectors: DataFrame, k: int = K) -> DataFrame:
     own = firsts.select("rep", F.col("other").alias("neighbour"), F.lit(1.0).cast("float").alias("score"))
     lists = spread.unionByName(own)
     wide = member.select("id", "rep").join(lists, "rep").where("id <> neighbour").select("id", "neighbour", "score").distinct()
-    w = W.partitionBy("id").orderBy(F.desc(F.round("score", 4)), "neighbour")
+    w = W.partitionBy("id").orderBy(F.desc(F.round("score", DECIMALS)), "neighbour")
     return wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

@@ -133,6 +133,18 @@ def test_p1_recall_over_many_divided_cells(spark, monkeypatch):
     assert recall(spark, (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)) >= 0.97
 
 
+def test_p1_close_cosines_keep_their_order():
+    """Vectors as sent tell cosines apart that differ in the fifth decimal."""
+    rng = np.random.default_rng(1)
+    m = rng.standard_normal((500, 96)) + 0.8
+    m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float32)
+    back = neighbours.unpacked(neighbours.packed(m), 96)
+    assert np.abs(back.astype(np.float64) @ back.T.astype(np.float64) - m.astype(np.float64) @ m.T.astype(np.float64)).max() < 4e-5
+    a = np.array([[1.0, 0, 0], [0.5, 0.8660254, 0], [0.50003, 0.866008, 0]], np.float32)
+    q, x, _ = neighbours.search_cell(np.arange(3), np.ones(3, bool), a, 1, 1)
+    assert dict(zip(q.tolist(), x.tolist()))[0] == 2
+
+
 def test_p1_large_groups_are_searched_whole():
     """A label of more rows than a block holds, and of more than a cell."""
     rng = np.random.default_rng(2)
