@@ -87,10 +87,14 @@ def sanitize(c: Column) -> Column:
     return F.translate(c, "\u0085  ", "   ")
 
 
+def word_line(c: Column, accents: bool = False) -> Column:
+    """The words of ``all_words`` in one line, with a space between each two."""
+    return F.regexp_replace(F.lower(c) if accents else strip_accents(F.lower(c)), r"[^\p{L}\p{N}_]+", " ")
+
+
 def all_words(c: Column, accents: bool = False) -> Column:
     """Lower-case words (letters, digits, underscore) in order, without accents unless ``accents``."""
-    base = F.lower(c) if accents else strip_accents(F.lower(c))
-    return F.filter(F.split(F.regexp_replace(base, r"[^\p{L}\p{N}_]+", " "), " "), lambda w: w != "")
+    return F.filter(F.split(word_line(c, accents), " "), lambda w: w != "")
 
 
 def tokenize(c: Column) -> Column:
