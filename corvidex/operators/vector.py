@@ -1,8 +1,8 @@
 """Dense channel: exact cosine top-k of a query set against all vectors, in blocks.
 
 The query side is a stated set.  It is cut into blocks; every block is sent to
-every partition of the stored vectors, which multiplies matrices and keeps its
-own k best, so only queries x partitions x k rows are exchanged.  A query set
+every partition of the stored vectors, which multiplies matrices of bounded size
+and keeps its own k best, so only queries x partitions x k rows are exchanged.  A query set
 too large to send is worked off by joining on block numbers instead.
 """
 
@@ -19,6 +19,8 @@ from .lexical import top_k
 
 #: Query vectors are sent to all executors only below so many floats (32 MB).
 SENT_FLOATS = 8_000_000
+#: Cosines made at once, and stored vectors among them.
+CELLS, BLOCK = 1 << 20, 1024
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -57,22 +59,72 @@ def _nearest(stored: DataFrame, qp: pd.DataFrame, k: int, exclude_self: bool) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qi, m = sent.value
+        best = Best(qi, m, k, exclude_self)
         for b in batches:
-            if len(b):
-                yield best_of_block(qi, m, b, k, exclude_self)
+            best.add(b)
+        yield from best.rows()
 
     return stored.mapInPandas(run, schema)
 
 
+class Best:
+    """The k best of each query among the blocks of vectors seen so far, in room bound by CELLS and queries x k."""
+
+    def __init__(self, qi: np.ndarray, qm: np.ndarray, k: int, exclude_self: bool):
+        self.qi, self.qm, self.k, self.exclude_self = qi, qm, k, exclude_self
+        self.floor = np.full(len(qi), -np.inf)
+        self.kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))  # place of the query, chunk_id, score
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, block: pd.DataFrame) -> None:
+        if not len(block):
+            return
+        vm, ok = _unit(block["embedding"])
+        vi = block["chunk_id"].to_numpy()[ok]
+        for at in range(0, len(vi), BLOCK):
+            v, ids = vm[at : at + BLOCK], vi[at : at + BLOCK]
+            step = max(1, CELLS // len(v))
+            for q0 in range(0, len(self.qi), step):
+                s = self.qm[q0 : q0 + step] @ v.T
+                if self.exclude_self:
+                    s[self.qi[q0 : q0 + step, None] == ids[None, :]] = -np.inf
+                # a row below its query's k-th best so far is out, one beside it may still win by its id
+                low = self.floor[q0 : q0 + step]
+                if len(ids) > self.k:
+                    low = np.maximum(low, np.partition(s, len(ids) - self.k, axis=1)[:, len(ids) - self.k]) if not self.kept[0].size else low
+                q, c = np.nonzero((s >= low[:, None] - 1e-8) & np.isfinite(s))
+                self.held.append((q + q0, ids[c], np.round(s[q, c], 9)))
+                self.n += len(q)
+                if self.n > CELLS:
+                    self.settle()
+            self.settle()
+
+    def settle(self) -> None:
+        """Drops what is no longer among the k best and lifts the floors."""
+        if not self.n:
+            return
+        q, i, s = (np.concatenate(x) for x in zip(self.kept, *self.held))
+        order = np.lexsort((i, -s, q))
+        q, i, s = q[order], i[order], s[order]
+        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+        full = place == self.k - 1
+        self.floor[q[full]] = s[full]
+        self.kept = tuple(x[place < self.k] for x in (q, i, s))
+        self.held, self.n = [], 0
+
+    def rows(self) -> Iterator[pd.DataFrame]:
+        self.settle()
+        q, i, s = self.kept
+        for at in range(0, len(q), 100_000):
+            yield pd.DataFrame({"query_id": self.qi[q[at : at + 100_000]], "chunk_id": i[at : at + 100_000], "score": s[at : at + 100_000]})
+
+
 def best_of_block(qi: np.ndarray, qm: np.ndarray, block: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
-    vm, ok = _unit(block["embedding"])
-    vi = block["chunk_id"].to_numpy()[ok]
-    s = np.round(qm @ vm.T, 9)
-    if exclude_self:
-        s[qi[:, None] == vi[None, :]] = -np.inf
-    order = np.lexsort((np.broadcast_to(vi, s.shape), -s), axis=1)[:, :k] if s.size else np.zeros((len(qi), 0), int)
-    out = pd.DataFrame({"query_id": np.repeat(qi, order.shape[1]), "chunk_id": vi[order].ravel() if order.size else np.zeros(0, np.int64), "score": np.take_along_axis(s, order, 1).ravel()})
-    return out[np.isfinite(out["score"])]
+    best = Best(qi, qm, k, exclude_self)
+    best.add(block)
+    return pd.concat([pd.DataFrame({"query_id": qi[:0], "chunk_id": np.zeros(0, np.int64), "score": np.zeros(0)}), *best.rows()])
 
 
 def _by_blocks(stored: DataFrame, q: DataFrame, k: int, exclude_self: bool, blocks: int) -> DataFrame:

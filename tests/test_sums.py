@@ -1,9 +1,12 @@
 """Top k of sums against every score, and what reaches the exchange."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
-from corvidex.operators import lexical, sums
+from corvidex.operators import lexical, sums, vector
 
 
 @pytest.mark.parametrize("k", [1, 7, 5000])
@@ -35,3 +38,23 @@ def test_a_term_counts_once_for_a_query_delivered_twice(spark):
     two = one.unionByName(spark.createDataFrame([("q", "rio")], one.schema))
     rows = lambda q: sorted(map(tuple, lexical.bm25(c, q).collect()))
     assert rows(two) == rows(one)
+
+
+def test_dense_block_in_bounded_memory():
+    """2,000 queries against one batch of 10,000 vectors: all cosines at once would be 160 MB, and their sort more."""
+    rng = np.random.default_rng(2)
+    v = rng.integers(-3, 4, (10_000, 8)).astype(np.float64) + 0.5  # many equal cosines
+    block = pd.DataFrame({"chunk_id": rng.permutation(10_000), "embedding": list(v.astype(np.float32))})
+    qi, qm = np.arange(2_000), rng.normal(size=(2_000, 8))
+    qm /= np.linalg.norm(qm, axis=1, keepdims=True)
+    tracemalloc.start()
+    got = vector.best_of_block(qi, qm, block, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    ids = block["chunk_id"].to_numpy()
+    for q in range(0, 2_000, 97):
+        s = np.round(u @ qm[q], 9)
+        s[ids == q] = -np.inf
+        assert got[got["query_id"] == q]["chunk_id"].tolist() == ids[np.lexsort((ids, -s))[:3]].tolist()
+    assert len(got) == 6_000 and peak < 100e6
