@@ -10,13 +10,18 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from ..session import materialise
+from . import sums
 from .chunking import CAPITALS
 from .lexical import DECIMALS, top_k
 
@@ -200,18 +205,69 @@ def link(queries: DataFrame, names: DataFrame) -> DataFrame:
     return hit.join(inside, ["query_id", "entity"], "left_anti")
 
 
+#: Rows of (seed, entity) and of (query, seed) that are sent to every task; beyond, they are joined.
+SENT_ROWS = 2_000_000
+
+
+def seed_pairs(node_chunks: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(a, b, peso), a < b: the pairs of entities of a chunk of which one is a seed at least, with the number of their chunks.
+    node_chunks(entity, chunk_id), distinct; seeds(entity)."""
+    s = materialise(seeds.select("entity").distinct(), "seeds")
+    flagged = node_chunks.select("entity", "chunk_id").join(s.withColumn("seed", F.lit(True)), "entity", "left")
+    x = flagged.where("seed").select("chunk_id", F.col("entity").alias("x"))
+    y = flagged.select("chunk_id", F.col("entity").alias("y"), "seed")
+    both = x.join(y, "chunk_id").where("x < y or (x > y and seed is null)")  # a pair of two seeds once
+    return both.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("peso"))
+
+
+def _given(numbers: np.ndarray, starts: np.ndarray, seed: np.ndarray, part: np.ndarray):
+    """What each seed gives to each chunk, for rows (chunk_id, es): the seeds of entity numbers[i] are those from starts[i] to starts[i + 1]."""
+
+    def run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        es = batch.column(1)
+        c, e = np.repeat(np.arange(len(es)), np.diff(es.offsets.to_numpy())), np.searchsorted(numbers, es.flatten().to_numpy(zero_copy_only=False))
+        n = starts[e + 1] - starts[e]
+        at = np.repeat(starts[e] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return seed[at].astype(np.int64), np.repeat(c, n), part[at]
+
+    return run
+
+
 def graph_search(seeds: DataFrame, node_chunks: DataFrame, edge_rows: DataFrame, k: int = 1000, neighbour: float = 0.4) -> DataFrame:
     """(query_id, chunk_id, score, rank): 1 for each chunk of a linked entity,
     ``neighbour`` x min(peso, 10) / 10 for each chunk of a neighbour, from every
-    seed.  node_chunks(entity, chunk_id); edge_rows(a, b, peso)."""
+    seed.  seeds(query_id, entity), node_chunks(entity, chunk_id), distinct;
+    edge_rows(a, b, peso), of which those of seeds are enough."""
+    seeds = materialise(seeds.select("query_id", "entity"), "linked")
     both = edge_rows.select(F.col("a").alias("entity"), F.col("b").alias("other"), "peso").unionByName(edge_rows.select(F.col("b").alias("entity"), F.col("a").alias("other"), "peso"))
-    direct = seeds.join(node_chunks, "entity").select("query_id", "chunk_id", F.lit(1.0).alias("part"))
-    via = seeds.join(both, "entity").select("query_id", F.col("other").alias("entity"), (neighbour * F.least("peso", F.lit(10)) / 10.0).alias("part"))
-    near = via.join(node_chunks, "entity").select("query_id", "chunk_id", "part")
-    total = direct.unionByName(near).groupBy("query_id", "chunk_id").agg(F.round(F.sum("part"), DECIMALS).alias("score"))
+    itself = seeds.select("entity").distinct()
+    near = both.join(itself, "entity", "left_semi").select("entity", "other", (neighbour * F.least("peso", F.lit(10)) / 10.0).alias("part"))
+    given = materialise(itself.select("entity", F.col("entity").alias("other"), F.lit(1.0).alias("part")).unionByName(near), "given")
+    if max(given.count(), seeds.count()) <= SENT_ROWS:
+        return _sent_search(seeds, node_chunks, given, k)
+    total = seeds.join(given, "entity").join(node_chunks.withColumnRenamed("entity", "other"), "other").groupBy("query_id", "chunk_id").agg(F.round(F.sum("part"), DECIMALS).alias("score"))
     return top_k(total, k)
 
 
+def _sent_search(seeds: DataFrame, node_chunks: DataFrame, given: DataFrame, k: int) -> DataFrame:
+    """The search with seeds and their neighbours, SENT_ROWS at most, as numbers sent to every task."""
+    spark = seeds.sparkSession
+    entities = materialise(given.select("other").distinct().withColumn("e", F.monotonically_increasing_id()), "numbers")
+    names = materialise(given.select("entity").distinct().withColumn("s", F.monotonically_increasing_id()), "seeds")
+    g = given.join(entities, "other").join(names, "entity").select("s", "e", "part").toArrow()
+    numbers, o = np.unique(g["e"].to_numpy(), return_inverse=True)
+    own, s = np.unique(g["s"].to_numpy(), return_inverse=True)
+    order = np.argsort(o, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(numbers)))]).astype(np.int64)
+    q = seeds.join(names, "entity").select("query_id", "s").toArrow()
+    ids = q["query_id"].unique()
+    groups = sums.Groups(pc.index_in(q["query_id"], ids).to_numpy().astype(np.int64), np.searchsorted(own, q["s"].to_numpy()))
+    stored = materialise(node_chunks.join(entities.withColumnRenamed("other", "entity"), "entity").groupBy(F.col("chunk_id").cast("bigint").alias("chunk_id")).agg(F.collect_list("e").alias("es")), "entities")
+    got = sums.top_sums(stored, _given(numbers, starts, s[order].astype(np.int32), g["part"].to_numpy()[order]), len(own), groups, k, stored.count())
+    back = spark.createDataFrame(list(enumerate(ids.to_pylist())), StructType([StructField("q", IntegerType()), StructField("query_id", seeds.schema["query_id"].dataType)]))
+    return top_k(got.join(F.broadcast(back), "q").select("query_id", "chunk_id", F.round("score", DECIMALS).alias("score")), k)
+
+
 def link_coverage(queries: DataFrame, linked: DataFrame, node_chunks: DataFrame) -> DataFrame:
     """One row: queries, queries with a linked entity, distinct chunks reached."""
     reach = linked.join(node_chunks, "entity").agg(F.count_distinct("chunk_id").alias("chunks"))

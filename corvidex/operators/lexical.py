@@ -97,21 +97,19 @@ class _Counted:
     def _send(self, chunks: DataFrame) -> None:
         """Terms and queries as numbers: (chunk_id, dl, ts, ns), and the driver's share of at most ROW_TERMS pairs."""
         spark = chunks.sparkSession
-        pairs = [tuple(r) for r in self.terms.select("query_id", "term").collect()]
-        self.vocabulary = sorted({t for _, t in pairs})
-        number = {t: i for i, t in enumerate(self.vocabulary)}
-        self.ids = list(dict.fromkeys(q for q, _ in pairs))
-        place = {q: i for i, q in enumerate(self.ids)}
-        self.groups = sums.Groups(np.array([place[q] for q, _ in pairs], np.int64), np.array([number[t] for _, t in pairs], np.int64))
+        pairs = self.terms.select("query_id", "term").toArrow()
+        ids, vocabulary = pairs["query_id"].unique(), pairs["term"].unique()
+        self.ids, self.vocabulary = ids.to_pylist(), vocabulary
+        self.groups = sums.Groups(pc.index_in(pairs["query_id"], ids).to_numpy().astype(np.int64), pc.index_in(pairs["term"], vocabulary).to_numpy().astype(np.int64))
         words = chunks.select(F.col("chunk_id").cast("bigint").alias("chunk_id"), T.word_line(F.coalesce("text", F.lit(""))).alias("words"))
-        self.table = materialise(words.mapInArrow(_counts(pa.array(self.vocabulary, pa.string())), "chunk_id bigint, dl int, ts array<int>, ns array<int>"), "index")
+        self.table = materialise(words.mapInArrow(_counts(self.vocabulary), "chunk_id bigint, dl int, ts array<int>, ns array<int>"), "index")
         stats = self.table.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
         self.n, self.avgdl = stats["n"], stats["avgdl"] or 1.0
         df = np.zeros(len(self.vocabulary))
-        for t, c in self.table.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count("*").alias("c")).collect():
-            df[t] = c
+        held = self.table.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count("*").alias("c")).toArrow()
+        df[held["t"].to_numpy()] = held["c"].to_numpy()
         self.idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        self.weights = spark.createDataFrame([(t, float(w)) for t, w, c in zip(self.vocabulary, self.idf, df) if c], "term string, idf double")
+        self.weights = spark.createDataFrame([(t, float(w)) for t, w, c in zip(self.vocabulary.to_pylist(), self.idf, df) if c], "term string, idf double")
 
     def _join(self, chunks: DataFrame) -> None:
         """The same by joins: postings(term, chunk_id, tf, dl)."""

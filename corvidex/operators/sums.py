@@ -47,7 +47,7 @@ class Groups:
 
 def _blocks(batches: Iterator[pa.RecordBatch], features: Features, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(chunk ids, features by chunks) of each block."""
-    step = max(64, min(4096, CELLS // max(size, 1)))
+    step = max(16, min(4096, CELLS // max(size, 1)))
     for b in batches:
         for at in range(0, b.num_rows, step):
             part = b.slice(at, step)
@@ -126,7 +126,7 @@ def top_sums(stored: DataFrame, features: Features, size: int, groups: Groups, k
     counted = stored.mapInArrow(_ranges(features, groups, size, min(1.0, max(SHARES * k / max(n, 1), LEAST_SHARE))), "q int, range int, n bigint")
     per = counted.groupBy("q", "range").agg(F.sum("n").alias("n"))
     so_far = F.sum("n").over(W.partitionBy("q").orderBy(F.desc("range")))
-    found = per.withColumn("n", so_far).where(F.col("n") >= k).groupBy("q").agg(F.max("range").alias("range")).toPandas()  # a number a query
+    found = per.withColumn("n", so_far).where(F.col("n") >= k).groupBy("q").agg(F.max("range").alias("range")).toArrow()  # a number a query
     bound = np.full(groups.size, np.finfo(np.float32).tiny, np.float32)
-    bound[found["q"].to_numpy(np.int64)] = (found["range"].to_numpy(np.int32) << RANGE_BITS).view(np.float32) * np.float32(1 - SLACK)
+    bound[found["q"].to_numpy()] = (found["range"].to_numpy().astype(np.int32) << RANGE_BITS).view(np.float32) * np.float32(1 - SLACK)
     return stored.mapInArrow(_reaching(features, groups, size, bound), "q int, chunk_id bigint, score double")

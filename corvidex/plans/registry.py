@@ -567,8 +567,9 @@ sc AS (SELECT query_id, chunk_id, round(sum(part), 9) AS score FROM pt GROUP BY
 SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM sc) WHERE rank <= 20""")
 def q_graph_search(spark, base):
     names, where = _title_names(spark, base)
-    e = graph.pairs(where, names).groupBy("a", "b").agg(F.count("*").alias("peso"))
-    return _ranked(graph.graph_search(graph.link(asked(spark, base), names), where, e, 20))
+    where = materialise(where, "node_chunks")
+    linked = materialise(graph.link(asked(spark, base), where.select("entity").distinct()), "linked")
+    return _ranked(graph.graph_search(linked, where, graph.seed_pairs(where, linked), 20))
 
 
 @query(f"WITH {TN}, {LK} SELECT (SELECT count(DISTINCT query_id) FROM rq) AS queries, (SELECT count(DISTINCT query_id) FROM lk) AS linked, (SELECT count(DISTINCT chunk_id) FROM lk JOIN nc USING (entity)) AS chunks")

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from corvidex.operators import lexical, sums, vector
+from corvidex.operators import graph, lexical, sums, vector
 
 
 @pytest.mark.parametrize("k", [1, 7, 5000])
@@ -58,3 +58,31 @@ def test_dense_block_in_bounded_memory():
         s[ids == q] = -np.inf
         assert got[got["query_id"] == q]["chunk_id"].tolist() == ids[np.lexsort((ids, -s))[:3]].tolist()
     assert len(got) == 6_000 and peak < 100e6
+
+
+def test_graph_search_ways_agree(spark, monkeypatch):
+    """Seeds sent or joined, edges of all entities or of the seeds: one ranking, that of every pair summed up."""
+    rng = np.random.default_rng(3)
+    where = sorted({(f"e{e}", int(c)) for e, c in zip(rng.integers(0, 12, 300) ** 2 // 12, rng.integers(0, 80, 300))})
+    linked = [("q1", "e0"), ("q1", "e5"), ("q2", "e10"), ("q3", "e0")]
+    held = {}
+    for e, c in where:
+        held.setdefault(c, set()).add(e)
+    peso = {}
+    for es in held.values():
+        for a in es:
+            for b in es - {a}:
+                peso[a, b] = peso.get((a, b), 0) + 1
+    want = []
+    for q in ("q1", "q2", "q3"):
+        own = [e for x, e in linked if x == q]
+        scores = {c: round(sum((s in es) + sum(0.4 * min(peso[s, o], 10) / 10 for o in es if (s, o) in peso) for s in own), 9) for c, es in held.items()}
+        want += [(q, c, s, k + 1) for k, (c, s) in enumerate(sorted(((c, s) for c, s in scores.items() if s > 0), key=lambda x: (-x[1], x[0]))[:9])]
+    nodes, seeds = spark.createDataFrame(where, "entity string, chunk_id bigint"), spark.createDataFrame(linked, "query_id string, entity string")
+    e = graph.seed_pairs(nodes, seeds)
+    full = {(a, b): n for (a, b), n in peso.items() if a < b and {a, b} & {"e0", "e5", "e10"}}
+    assert {(r.a, r.b): r.peso for r in e.collect()} == full
+    run = lambda: sorted(tuple(r[c] for c in ("query_id", "chunk_id", "score", "rank")) for r in graph.graph_search(seeds, nodes, e, 9).collect())
+    assert run() == sorted(want)
+    monkeypatch.setattr(graph, "SENT_ROWS", -1)
+    assert run() == sorted(want)
