@@ -1,8 +1,7 @@
 """Entity graph: mentions, nodes, edges, linking and one-hop expansion.
 
 Mentions: (chunk_id, doc_id, ordinal, entity, group).  Pairs are made within a
-chunk only and a chunk gives at most ENTITIES_PER_CHUNK entities (a feature of
-the graph), so edges grow with the text and not with its square.
+chunk only, of all its entities in the frequency band.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from . import sums
 from .chunking import CAPITALS
 from .lexical import DECIMALS, top_k
 
-ENTITIES_PER_CHUNK = 12
 MIN_CHUNKS, CEILING = 3, 0.02
 EDGE_CHUNKS, EDGE_DOCS = 40, 20
 
@@ -124,13 +122,13 @@ def gaps(chunks: DataFrame) -> DataFrame:
 
 
 def clean_mentions(mentions: DataFrame) -> DataFrame:
-    """Normalised, noise-free mentions: first of each (chunk, entity, group), at most ENTITIES_PER_CHUNK a chunk."""
+    """Normalised, noise-free mentions: first of each (chunk, entity), with its place among those of the chunk."""
     key = T.norm_entity(F.col("name"))
     x = mentions.withColumn("entity", key)
     ok = (F.length("entity") >= 3) & ~F.col("entity").rlike(r"^[0-9 ]+$") & ~F.col("entity").isin(*NOT_ENTITY, *CAPTION_WORDS) & ~F.col("entity").rlike("^(see|ver) ")
     x = x.where(ok).groupBy("chunk_id", "entity").agg(F.min("start").alias("start"), F.min_by("end", F.struct("start", "end")).alias("end"), F.min_by("group", F.struct("start", "group")).alias("group"))
     w = W.partitionBy("chunk_id").orderBy("start", "entity")
-    return x.withColumn("ordinal", F.row_number().over(w)).where(F.col("ordinal") <= ENTITIES_PER_CHUNK)
+    return x.withColumn("ordinal", F.row_number().over(w))
 
 
 def kept_entities(mentions: DataFrame, n_chunks: DataFrame, low: int = MIN_CHUNKS, ceiling: float = CEILING, allowed: tuple[str, ...] = ()) -> DataFrame:
@@ -162,8 +160,7 @@ def pairs(mentions: DataFrame, kept: DataFrame) -> DataFrame:
 def labelled_pairs(mentions: DataFrame, kept: DataFrame, chunks: DataFrame) -> DataFrame:
     """(a, b, chunk_id, relacion): entity pairs of a chunk, a < b, labelled by the text
     between their first mentions; pairs too far apart, or that overlap, are bare
-    co-occurrences.  mentions(chunk_id, entity, start, end), chunks(chunk_id, text);
-    a chunk has at most ENTITIES_PER_CHUNK mentions."""
+    co-occurrences.  mentions(chunk_id, entity, start, end), chunks(chunk_id, text)."""
     m = mentions.join(kept.select("entity"), "entity", "left_semi")
     per = m.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("start", "entity", "end"))).alias("m")).where(F.size("m") > 1)
     one = per.join(chunks.select("chunk_id", "text"), "chunk_id").select("chunk_id", "text", F.posexplode("m").alias("i", "x"), "m")

@@ -60,6 +60,16 @@ def test_dense_block_in_bounded_memory():
     assert len(got) == 6_000 and peak < 100e6
 
 
+def test_every_entity_of_a_chunk_is_a_mention_and_pairs(spark):
+    """A chunk of 20 names gives 20 mentions and all their pairs, beyond the twelve first."""
+    names = [f"Grupo {a}{b}" for a in ("Norte", "Sur", "Este", "Oeste") for b in ("uno", "dos", "tres", "cinco", "seis")]
+    c = spark.createDataFrame([(1, "d", "hoy " + ", ".join(names))], "chunk_id bigint, doc_id string, text string")
+    m = graph.clean_mentions(graph.heuristic_mentions(c))
+    assert sorted(r.ordinal for r in m.collect()) == list(range(1, 21))
+    rows = graph.labelled_pairs(m, m.select("entity").distinct(), c).collect()
+    assert len({(r.a, r.b) for r in rows}) == 190
+
+
 def test_graph_search_ways_agree(spark, monkeypatch):
     """Seeds sent or joined, edges of all entities or of the seeds: one ranking, that of every pair summed up."""
     rng = np.random.default_rng(3)
