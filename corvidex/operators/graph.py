@@ -44,48 +44,27 @@ CAPTION_WORDS = (
 # Words inside a name, and how many further words a name may have.
 INSIDE_NAME = frozenset(("de", "del", "la", "las", "los", "y", "e"))
 FURTHER_WORDS = 3
-ACRONYM_LETTERS = range(2, 7)
-_WORD = re.compile(r"\w+")
+ACRONYM_LETTERS = (2, 6)
+_CAPITAL = "[" + re.escape("".join(sorted(CAPITALS))) + "]"
+_SHORT = rf"{_CAPITAL}{{{ACRONYM_LETTERS[0]},{ACRONYM_LETTERS[1]}}}(?!\w)"
+_ACRONYM = re.compile(rf"(?<!\w){_SHORT}(?:[/-]{_SHORT})?")
+_LONG = rf"{_CAPITAL}\w{{2,}}+"
+_NAME = re.compile(rf"(?<!\w){_LONG}(?:\s+(?:(?:{'|'.join(sorted(INSIDE_NAME))})\s+)?{_LONG}){{0,{FURTHER_WORDS}}}")
 
 
 def spans_of(text: str) -> list[tuple[str, str, int, int]]:
-    """Acronyms (ORG) and names (MISC) with their places, found over the words of a text.
+    """Acronyms (ORG) and names (MISC) with their places, found in a text.
 
     An acronym is a word of 2 to 6 capitals, or two of them around a slash or a
     dash.  A name is a capitalised word of three letters or more and up to three
     further ones, each with at most one small word before it; a run without a space
     that opens the text or a sentence is no name."""
-    words = [(m[0], m.start(), m.end()) for m in _WORD.finditer(text)]
-    n = len(words)
-    short = [len(w) in ACRONYM_LETTERS and CAPITALS.issuperset(w) for w, _, _ in words]
-    capital = [len(w) > 2 and w[0] in CAPITALS for w, _, _ in words]
-    # whether only white space parts a word from the next
-    near = [k + 1 < n and text[words[k][2] : words[k + 1][1]].isspace() for k in range(n)]
-    out: list[tuple[str, str, int, int]] = []
-    k = 0
-    while k < n:
-        if short[k]:
-            last = k + 1 if k + 1 < n and short[k + 1] and text[words[k][2] : words[k + 1][1]] in ("/", "-") else k
-            out.append((text[words[k][1] : words[last][2]], "ORG", words[k][1], words[last][2]))
-            k = last
-        k += 1
-    k = 0
-    while k < n:
-        if not capital[k]:
-            k += 1
-            continue
-        last = k
-        for _ in range(FURTHER_WORDS):
-            step = 1 if near[last] and capital[last + 1] else 2 if near[last] and words[last + 1][0] in INSIDE_NAME and near[last + 1] and capital[last + 2] else 0
-            if not step:
-                break
-            last += step
-        start, end = words[k][1], words[last][2]
-        name = text[start:end]
+    out = [(m[0], "ORG", m.start(), m.end()) for m in _ACRONYM.finditer(text)]
+    for m in _NAME.finditer(text):
+        name, start = m[0], m.start()
         opens = start == 0 or "." in text[max(0, start - 2) : start]
         if not name.isupper() and name.lower() not in NOT_ENTITY and (" " in name or not opens):
-            out.append((name, "MISC", start, end))
-        k = last + 1
+            out.append((name, "MISC", start, m.end()))
     return out
 
 
@@ -158,16 +137,20 @@ def pairs(mentions: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def labelled_pairs(mentions: DataFrame, kept: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(a, b, chunk_id, relacion): entity pairs of a chunk, a < b, labelled by the text
+    """(a, b, chunk_id, relacion) and doc_id if chunks have it: entity pairs of a chunk, a < b, labelled by the text
     between their first mentions; pairs too far apart, or that overlap, are bare
-    co-occurrences.  mentions(chunk_id, entity, start, end), chunks(chunk_id, text)."""
-    m = mentions.join(kept.select("entity"), "entity", "left_semi")
-    per = m.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("start", "entity", "end"))).alias("m")).where(F.size("m") > 1)
-    one = per.join(chunks.select("chunk_id", "text"), "chunk_id").select("chunk_id", "text", F.posexplode("m").alias("i", "x"), "m")
-    two = one.select("chunk_id", "text", "x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
-    between = F.when(F.col("y.start") >= F.col("x.end"), F.substring("text", F.col("x.end") + 1, F.col("y.start") - F.col("x.end")))
+    co-occurrences.  mentions(chunk_id, entity, start, end), chunks(chunk_id, text).
+    If ``kept`` numbers its entities (e), a and b are numbers, in the order of the names."""
+    owner = [c for c in ("doc_id",) if c in chunks.columns]
+    number = "e" if "e" in kept.columns else "entity"
+    m = mentions.join(kept.select("entity", *{number} - {"entity"}), "entity")
+    per = m.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("start", "entity", "end", F.col(number).alias("n")))).alias("m")).where(F.size("m") > 1)
+    one = per.join(chunks.select("chunk_id", "text", *owner), "chunk_id").select("chunk_id", "text", *owner, F.posexplode("m").alias("i", "x"), "m")
+    two = one.select("chunk_id", "text", *owner, "x", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
+    between = F.when((F.col("y.start") - F.col("x.end")).between(0, T.RELATION_SPAN), F.substring("text", F.col("x.end") + 1, F.col("y.start") - F.col("x.end")))
     label = F.coalesce(T.relation_type(between), F.lit("coocurre_con"))
-    return two.select("chunk_id", F.least("x.entity", "y.entity").alias("a"), F.greatest("x.entity", "y.entity").alias("b"), label.alias("relacion"))
+    first = F.col("x.entity") < F.col("y.entity")
+    return two.select("chunk_id", *owner, F.when(first, F.col("x.n")).otherwise(F.col("y.n")).alias("a"), F.when(first, F.col("y.n")).otherwise(F.col("x.n")).alias("b"), label.alias("relacion"))
 
 
 def edges(pair_rows: DataFrame, min_bare: int = 1) -> DataFrame:

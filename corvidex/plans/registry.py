@@ -589,10 +589,14 @@ def q_entities_heuristic(spark, base):
 def q_graph_from_texts(spark, base):
     """Entity graph of all chunks: mentions, frequency band, relations of neighbouring mentions, edges."""
     c = once(spark, base, "doc_id", F.col("texto").alias("text"))
-    m = graph.clean_mentions(graph.heuristic_mentions(c))
-    kept = graph.kept_entities(m, c.agg(F.count("*").alias("n")))
-    rows = graph.labelled_pairs(m, kept, c).join(c.select("chunk_id", "doc_id"), "chunk_id")
-    return graph.edges(rows, 2).select("a", "b", "relacion", "peso", F.size("chunks").alias("n_chunks"), F.size("docs").alias("n_docs"))
+    # found once and stored: four branches below read the mentions, and four the pairs
+    m = materialise(graph.clean_mentions(graph.heuristic_mentions(c)), "mentions")
+    kept = materialise(graph.kept_entities(m, c.agg(F.count("*").alias("n"))).withColumn("e", F.monotonically_increasing_id()), "kept")
+    rows = materialise(graph.labelled_pairs(m, kept, c), "pairs")
+    e = graph.edges(rows, 2)  # of numbers; named at the end
+    for end in ("a", "b"):
+        e = e.withColumnRenamed(end, "e").join(kept.select("e", F.col("entity").alias(end)), "e").drop("e")
+    return e.select("a", "b", "relacion", "peso", F.size("chunks").alias("n_chunks"), F.size("docs").alias("n_docs"))
 
 
 # ---- evaluation ------------------------------------------------------------

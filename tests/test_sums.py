@@ -67,7 +67,7 @@ def test_every_entity_of_a_chunk_is_a_mention_and_pairs(spark):
     m = graph.clean_mentions(graph.heuristic_mentions(c))
     assert sorted(r.ordinal for r in m.collect()) == list(range(1, 21))
     rows = graph.labelled_pairs(m, m.select("entity").distinct(), c).collect()
-    assert len({(r.a, r.b) for r in rows}) == 190
+    assert len({(r.a, r.b) for r in rows}) == 190 and {r.doc_id for r in rows} == {"d"}
 
 
 def test_graph_search_ways_agree(spark, monkeypatch):
