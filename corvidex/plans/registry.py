@@ -474,11 +474,11 @@ def _search_sql(fused: str, name: str, weights: str, lift: str, agg: str, bonus:
 def _search(spark, base, settings):
     c = once(spark, base, "doc_id", F.col("fenomeno").alias("phenomenon"), F.col("texto").alias("text"))
     t = once(spark, base, "titulo").where("titulo is not null").select("chunk_id", F.explode(T.grams(T.all_words(F.col("titulo")), 2)).alias("entity")).distinct()
-    # the graph is built once and stored, as a search finds it
+    # names and their chunks are stored once, as a search finds them
     t = materialise(t, "titles")
     names = materialise(t.groupBy("entity").agg(F.count("*").alias("df")).where("df >= 2 and entity <> ''").select("entity"), "names")
     where = materialise(t.join(names, "entity", "left_semi"), "node_chunks")
-    e = materialise(graph.pairs(where, names).groupBy("a", "b").agg(F.count("*").alias("peso")), "edge_rows")
+    e = materialise(graph.seed_pairs(where, graph.link(asked(spark, base), names)), "edge_rows")  # of the asked names
     dense = channels(spark, base).where("channel in ('dense_a', 'dense_b')")
     d = retrieval.search(c, asked(spark, base), settings, dense, names, where, e)["documents"]
     return d.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
